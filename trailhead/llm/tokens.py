@@ -7,17 +7,44 @@ words one after the other.  Words are remembered as little-endian 32-bit id byte
 from __future__ import annotations
 
 import os
+import unicodedata
 
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 500_000
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
+class Memo(dict):
+    """Id bytes by word (lower-case UTF-8 bytes); a word that is missing is looked up in the former memo or learned."""
+
+    def __init__(self, tokenizer, alphabet: dict[int, str], former: dict):
+        super().__init__()
+        self.tokenizer, self.tokenize, self.alphabet, self.former = tokenizer, tokenizer.model.tokenize, alphabet, former
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.former.get(word)
+        if ids is None:
+            ids = self.learned(word)
+        self[word] = ids
+        return ids
+
+    def learned(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if text.isalpha() and text.islower() and (text.isascii() or all(ord(c) in self.alphabet for c in text)):
+            # Latin letters alone are one unit to the tokenizer: its BPE model gets them at once, in the byte-level alphabet.
+            return b"".join([t.id.to_bytes(4, "little") for t in self.tokenize(text.translate(self.alphabet))])
+        stem = word.rstrip(PUNCTUATION)
+        if stem and len(stem) < len(word) and b"<|" not in word and (c := stem.decode("utf-8", "replace")[-1]) < "\u0250" and c.isalnum() and (c.isascii() or c.isalpha()):
+            # Units end between a letter or digit and the punctuation after it.
+            return self[stem] + self[word[len(stem) :]]
+        return b"".join([i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+
+
 class WordEncoder:
     """Encodes texts (UTF-8 bytes) to the ids that ``tokenizers`` gives without special tokens, then ``end_id``.
 
-    The memo holds at most ``memo_words`` words and those of one batch; when full it is emptied.  Text bytes are
-    split at ASCII white space only; whatever else the tokenizer treats as white space stays inside a "word" that
-    the library itself encodes.
+    The memo holds at most ``memo_words`` words and those of one text; when full it starts anew and takes over what it
+    still needs of its former self.  Text bytes are split at ASCII white space only; whatever else the tokenizer treats
+    as white space stays inside a "word" that the library itself encodes.
     """
 
     def __init__(self, path: str, end_id: int | None = 1, memo_words: int = MEMO_WORDS):
@@ -27,49 +54,20 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
         self.memo_words = memo_words
-        self.memo: dict[bytes, bytes] = {}
-
-    def _ask(self, words: list[bytes]) -> None:
-        """Let the library encode the words, many at a time, and cut its ids at the words' ends."""
-        import numpy as np
-
-        texts = [w.decode("utf-8", "replace") for w in words]
-        for at in range(0, len(texts), 4096):
-            part = texts[at : at + 4096]
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4").tobytes()
-            begin = np.fromiter((a for a, _ in found.offsets), dtype=np.int64, count=len(ids) // 4)
-            ends = np.cumsum(np.fromiter(map(len, part), dtype=np.int64, count=len(part)) + 1)
-            cuts = [0, *(4 * np.searchsorted(begin, ends)).tolist()]
-            for k, word in enumerate(words[at : at + 4096]):
-                self.memo[word] = ids[cuts[k] : cuts[k + 1]]
-
-    def _learn(self, fresh: set[bytes]) -> None:
-        """Learn words; one that ends in punctuation after a letter or digit is its stem and then the punctuation."""
-        ended, ask = [], set()
-        for word in fresh:
-            stem = word.rstrip(PUNCTUATION)
-            if stem and len(stem) < len(word) and b"<|" not in word and (stem[-1] < 128 or (c := stem.decode("utf-8", "replace")[-1]) < "\u0250" and c.isalpha()):
-                ended.append((word, stem, word[len(stem) :]))
-                ask.add(stem)
-                ask.add(word[len(stem) :])
-            else:
-                ask.add(word)
-        self._ask([w for w in ask if w not in self.memo])
-        for word, stem, rest in ended:
-            self.memo[word] = self.memo[stem] + self.memo[rest]
+        shown = [c for c in range(256) if 33 <= c < 127 or 161 <= c < 173 or 174 <= c]  # the byte-level alphabet shows these bytes as themselves
+        letter = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in shown)}
+        self.alphabet = {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x250) if chr(c).isalpha() and chr(c) == chr(c).lower() and unicodedata.is_normalized("NFC", chr(c))}
+        self.memo = Memo(self.tokenizer, self.alphabet, {})
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(t if b"<|" in t else t.lower()).split() for t in (t or b"" for t in texts)]  # the tokenizer ignores case, but in names of special tokens
-        words = set().union(*split)
-        fresh = words.difference(self.memo)
-        if fresh and len(self.memo) + len(fresh) > self.memo_words:
-            self.memo.clear()
-            fresh = words
-        if fresh:
-            self._learn(fresh)
-        get = self.memo.__getitem__
-        return [b"".join(map(get, s)) + self.end for s in split]
+        out = []
+        for t in texts:
+            t = t or b""
+            if len(self.memo) > self.memo_words:
+                self.memo = Memo(self.tokenizer, self.alphabet, dict(self.memo))
+            # The tokenizer ignores case, but in the names of special tokens.
+            out.append(b"".join(map(self.memo.__getitem__, (t if b"<|" in t else t.lower()).split())) + self.end)
+        return out
 
 
 def encoder(path: str, end_id: int | None = 1, memo_words: int = MEMO_WORDS) -> WordEncoder:
