@@ -5,8 +5,8 @@ compressed sizes over their sum is the text's margin.  Short blocks keep the dic
 text is.  Logistic regression on labelled texts that the dictionaries were not made from turns margin (and the plain
 compression ratio) into a score from 0 to 1, with the margin's spread for a text of that length taken into account.
 
-Bounds of the fit: at most ``dictionary_blocks`` blocks of labelled text for each dictionary and
-``calibration_docs`` labelled rows for the calibration, both taken in the order of a hash of the id.  Scoring covers
+Bounds of the fit: at most ``dictionary_blocks`` blocks of ``dictionary_docs`` labelled rows for each dictionary and
+``calibration_docs`` labelled rows of each class for the calibration, all taken in the order of a hash.  Scoring covers
 whole texts of all rows, a batch at a time.
 
 Defined cases: null and empty texts have margin 0 and score ``model.empty``; a repeated doc_id is scored for each row;
@@ -69,26 +69,31 @@ def logistic(x, y, steps: int = 50, ridge: float = 1e-3):
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, block: int = 1024, dictionary_blocks: int = 384, calibration_docs: int = 6000) -> Model:
-    """Learn from rows of ``docs`` (doc_id, text) with a quality in ``labels``."""
+def fit(docs: DataFrame, labels: DataFrame, block: int = 1024, dictionary_docs: int = 1500, dictionary_blocks: int = 384, calibration_docs: int = 3000) -> Model:
+    """Learn from rows of ``docs`` (doc_id, text) with a quality in ``labels``.
+
+    Ids are drawn first, from ids and labels alone; at most ``2 * (dictionary_docs + calibration_docs)`` of them are
+    broadcast to fetch their texts, so no text is shuffled."""
     import numpy as np
 
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = docs.select("doc_id", "text").where("length(text) > 0").join(known, "doc_id")
+    ids = known.join(docs.where("length(text) > 0").select("doc_id"), "doc_id", "left_semi")
+    counts = {r["quality"]: r["n"] for r in ids.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    share = counts.get(1, 0) / max(1, sum(counts.values()))
+    if not counts.get(0) or not counts.get(1):
+        return Model(b" ", b" ", [0.0] * 4, block, share if counts else 0.5)
     order = F.xxhash64(F.col("doc_id"), F.lit("fit"))
-    part = F.pmod(order, F.lit(2))
-    # Blocks of all labelled rows of one half, the first of each class in hash order; the bound is on blocks, so on bytes.
+    drawn = [ids.where((F.col("quality") == q) & (F.pmod(order, F.lit(2)) == part)).select("doc_id", "quality", order.alias("o")).orderBy("o", "doc_id").limit(n) for q in (0, 1) for part, n in ((0, dictionary_docs), (1, calibration_docs))]
+    drawn, _ = common.written(drawn[0].unionByName(drawn[1]).unionByName(drawn[2]).unionByName(drawn[3]), "drawn")
+    rows = docs.select("doc_id", "text").where("length(text) > 0").join(F.broadcast(drawn), "doc_id").withColumn("part", F.pmod("o", F.lit(2)))
     cut = F.expr(f"explode(transform(sequence(0, cast((length(text) - 1) div {block} as int)), i -> substring(text, i * {block} + 1, {block})))")
-    blocks = rows.where(part == 0).select("quality", order.alias("o"), cut.alias("b")).select("quality", F.xxhash64("o", "b").alias("o"), "b")
+    blocks = rows.where("part = 0").select("quality", "o", cut.alias("b")).select("quality", F.xxhash64("o", "b").alias("o"), "b")
     texts = {q: [r.b.encode() for r in blocks.where(F.col("quality") == q).orderBy("o", "b").limit(dictionary_blocks).select("b").collect()] for q in (0, 1)}
-    held = rows.where(part == 1).select("quality", "text", order.alias("o"))
-    share = held.agg(F.avg("quality")).first()[0]
     good, bad = b"\n".join(texts[1]), b"\n".join(texts[0])
-    if not good or not bad or share in (None, 0.0, 1.0):
-        return Model(b" ", b" ", [0.0] * 4, block, 0.5 if share is None else float(share))
     # Whole texts are measured where they lie; only their features come to the driver.
-    sample = [held.where(F.col("quality") == q).orderBy("o", "text").limit(calibration_docs // 2).select("quality", "text") for q in (0, 1)]
-    found = sample[0].unionByName(sample[1]).mapInArrow(_measure(good, bad, block), "quality int, f array<double>").collect()
+    found = rows.where("part = 1").select("quality", "text").mapInArrow(_measure(good, bad, block), "quality int, f array<double>").collect()
+    if not good or not bad or len({r.quality for r in found}) < 2:
+        return Model(b" ", b" ", [0.0] * 4, block, share)
     x, y = np.array([r.f for r in found]), np.array([float(r.quality) for r in found])
     weights = logistic(x, y)
     # The sample holds both classes alike; move the intercept to the classes' shares among all labelled rows.
