@@ -3,7 +3,7 @@
 The automaton runs once over a text; at each position it gives, along its output links, all pieces that end there, and
 each relaxes the best score of that position.  A character that no piece covers costs ``least score - 10`` and is
 written as its bytes' pieces (or as the unknown piece).  The result is the segmentation of the highest sum of scores,
-as the library's unigram mode defines it, for any vocabulary file; equal sums keep the segmentation with the longest
+as unigram segmentation defines it, for any vocabulary file; equal sums keep the segmentation with the longest
 last piece.
 
 If no piece has a space mark but at its beginning, the best segmentation of a text is that of its words one after the
@@ -25,12 +25,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 MARK = "▁"
-MEMO_WORDS = 600_000
+MEMO_WORDS = 400_000
+ROWS = 128
+
+
+class Memo(dict):
+    """Ids by part of a text: a word after a space, or a line feed and the word after it."""
+
+    def __init__(self, search, feed: bytes, former: dict):
+        super().__init__()
+        self.search, self.feed, self.former = search, feed, former
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.former.get(part)
+        if ids is None:
+            ids = self.feed + self.search(part[1:]) if part[:1] == "\n" else self.search(MARK + part)
+        self[part] = ids
+        return ids
 
 
 class Pieces:
     def __init__(self, path: str, memo_words: int = MEMO_WORDS):
         import ahocorasick
+        import numpy as np
         import sentencepiece
 
         m = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -55,8 +72,10 @@ class Pieces:
         self.fallback = byte_id if len(byte_id) == 256 else None
         self.parts = not crossing and not feeds
         self.memo_words = memo_words
-        self.memo: dict[str, bytes] = {}
-        self.feed = self._viterbi("\n")
+        self.memo = Memo(self._viterbi, self._viterbi("\n"), {})
+        self.length = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.raw = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
 
     def _viterbi(self, text: str) -> bytes:
         """Ids (little-endian 32-bit) of the best segmentation of a text whose spaces are marks already."""
@@ -84,36 +103,28 @@ class Pieces:
             j -= size
         return b"".join(i.to_bytes(4, "little") for i in reversed(ids))
 
-    def _known(self, part: str) -> bytes:
-        found = self.memo.get(part)
-        if found is None:
-            if len(self.memo) >= self.memo_words:
-                self.memo.clear()
-            found = self.memo[part] = self._viterbi(part)
-        return found
-
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        text = MARK + text.replace(" ", MARK)
         if not self.parts:
-            return self._viterbi(text)
-        known, out = self._known, []
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append(self.feed)
-            if MARK + MARK in line or line.endswith(MARK):
-                out += [known(p) for p in re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", line)]
-            else:
-                first, *words = line.split(MARK)
-                if first:
-                    out.append(known(first))
-                out += [known(MARK + w) for w in words]
-        return b"".join(out)
+            return self._viterbi(MARK + text.replace(" ", MARK))
+        if len(self.memo) > self.memo_words:
+            self.memo = Memo(self._viterbi, self.memo.feed, dict(self.memo))
+        if "  " in text or MARK in text:  # runs of marks may be pieces: cut before each run only
+            parts = re.findall(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+", MARK + text.replace(" ", MARK))
+            return b"".join([self.memo.feed if p == "\n" else self._viterbi(p) for p in parts])
+        return b"".join(map(self.memo.__getitem__, text.replace("\n", " \n").split(" ")))
+
+    def decode(self, ids) -> bytes:
+        """The bytes of the pieces, without the space that stands before every text."""
+        import numpy as np
 
-    def decode(self, ids) -> str:
-        text = b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+        size = self.length[ids]
+        ends = np.cumsum(size)
+        if not len(ends):
+            return b""
+        text = self.raw[np.repeat(self.start[ids] - ends + size, size) + np.arange(int(ends[-1]))].tobytes()
+        return text[1:] if text[:1] == b" " else text
 
 
 _LOADED: dict[str, Pieces] = {}
@@ -134,11 +145,13 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         import pyarrow as pa
 
         p = loaded(model)
-        for batch in rows:
-            made = [p.encode(t or "") for t in batch.column("text").to_pylist()]
-            cuts = np.concatenate([[0], np.cumsum([len(m) // 4 for m in made])]) if made else np.zeros(1)
-            flat = pa.Array.from_buffers(pa.int32(), int(cuts[-1]), [None, pa.py_buffer(b"".join(made))])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat)], names=[*batch.schema.names, "ids"])
+        for whole in rows:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                made = [p.encode(t or "") for t in batch.column("text").to_pylist()]
+                cuts = np.concatenate([[0], np.cumsum([len(m) // 4 for m in made])])
+                flat = pa.Array.from_buffers(pa.int32(), int(cuts[-1]), [None, pa.py_buffer(b"".join(made))])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat)], names=[*batch.schema.names, "ids"])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
 
@@ -151,9 +164,11 @@ def decode(encoded: DataFrame, model: str, into: str = "decoded") -> DataFrame:
         import pyarrow as pa
 
         p = loaded(model)
-        for batch in rows:
-            texts = [None if x is None else p.decode(x) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
+        for whole in rows:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                texts = [p.decode(x.values.to_numpy()).decode("utf-8", "replace") if x.is_valid else None for x in batch.column("ids")]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
 
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(into, StringType())]))
 
