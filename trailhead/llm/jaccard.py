@@ -131,7 +131,8 @@ def statistics(texts: DataFrame, width: int, percent: int):
     found = texts.mapInArrow(run, "kind long, value long, n long").groupBy("kind", "value").agg(F.sum("n").alias("n"))
     found, path = common.written(found, "statistics")
     often = found.where("kind = 0 and n >= 32").orderBy(F.desc("n"), "value").limit(FREQUENT).toPandas()
-    length = found.where("kind = 1").agg((F.sum(F.col("n").cast("double") * F.col("n")) / F.sum("n")).alias("x")).first()["x"] or 1.0
+    # Shingles met often stand last in the order, so the lists that are scanned are those of the others.
+    length = found.where("kind = 1 and n < 32").agg((F.sum(F.col("n").cast("double") * F.col("n")) / F.sum("n")).alias("x")).first()["x"] or 1.0
     sizes = {r["value"]: r["n"] for r in found.where("kind = 2 and value > 1").collect()}
     common.remove(texts.sparkSession, path)
     return (often["value"].to_numpy(dtype="int64"), often["n"].to_numpy(dtype="int64")), boundary(sizes, length, percent)
