@@ -9,7 +9,11 @@ their first ``n - ceil(t * n) + c``.  So
 
 and sets just above the boundary are entered both ways to meet the light ones.  The boundary is the size at which the
 estimated cost, entries plus scanned entries, of the corpus is least; it comes from the sizes' histogram and the mean
-length of inverted lists.  Shingles met often are ordered last; this order only affects speed.
+length of inverted lists.  The common order puts a fixed share of all hash values, somewhat more than a prefix, first,
+and among these the shingles of only one class, which need no list, then the rarer; so counts of that share alone are
+gathered, and most documents have no list at all.  The order affects speed, not the links.
+
+A class is known by 64 bits of its set's digest: among ``n`` different sets the chance of a wrong class is under n * n / 2**65.
 
 Only connectivity is wanted, so not all pairs of a list are made.  Equal sets are one class.  Then
 
@@ -37,7 +41,6 @@ from pyspark.sql import functions as F
 from trailhead.llm import common
 
 WORD_MEMO = 500_000
-FREQUENT = 50_000
 SHORT_LIST = 16
 BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 1 << 20
 WIDE_SPACE = re.compile(rb"[\x20\x09-\x0d]+")
@@ -100,51 +103,15 @@ def boundary(sizes: dict[int, int], list_length: float, percent: int) -> int:
     return at
 
 
-def statistics(texts: DataFrame, width: int, percent: int):
-    """The frequent shingles with their counts (at most FREQUENT), and the light boundary."""
-
-    def run(rows):
-        import numpy as np
-        import pyarrow as pa
-
-        make, held, size, sizes = Shingler(width), [], 0, {}
+def entries(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, n, class (64 bits of the set's digest; null if empty) of every row, the shingles of the set's early region and,
+    if those may not fill the prefix, the first ones (``late``) of the rest.
 
-        def counted():
-            token, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            often, sample = n >= 8, token % 1024 == 0
-            kind = np.concatenate([np.zeros(often.sum(), np.int64), np.ones(sample.sum(), np.int64)])
-            return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.concatenate([token[often], token[sample]])), pa.array(np.concatenate([n[often], n[sample]]))], names=["kind", "value", "n"])
-
-        for batch in rows:
-            for t in batch.column("text").cast(pa.binary()):
-                s = make.set_of(t.as_py())
-                held.append(s)
-                size += len(s)
-                step = len(s) if len(s) < 64 else len(s) // 16 * 16 if len(s) < 1024 else len(s) // 256 * 256
-                sizes[step] = sizes.get(step, 0) + 1
-                if size > 1 << 21:
-                    yield counted()
-                    held, size = [], 0
-        yield counted()
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sizes), 2)), pa.array(list(sizes), pa.int64()), pa.array(list(sizes.values()), pa.int64())], names=["kind", "value", "n"])
-
-    found = texts.mapInArrow(run, "kind long, value long, n long").groupBy("kind", "value").agg(F.sum("n").alias("n"))
-    found, path = common.written(found, "statistics")
-    often = found.where("kind = 0 and n >= 32").orderBy(F.desc("n"), "value").limit(FREQUENT).toPandas()
-    # Shingles met often stand last in the order, so the lists that are scanned are those of the others.
-    length = found.where("kind = 1 and n < 32").agg((F.sum(F.col("n").cast("double") * F.col("n")) / F.sum("n")).alias("x")).first()["x"] or 1.0
-    sizes = {r["value"]: r["n"] for r in found.where("kind = 2 and value > 1").collect()}
-    common.remove(texts.sparkSession, path)
-    return (often["value"].to_numpy(dtype="int64"), often["n"].to_numpy(dtype="int64")), boundary(sizes, length, percent)
-
-
-def entries(texts: DataFrame, width: int, percent: int, often, light: int) -> DataFrame:
-    """doc_id, n, digest of every row, and the keys and positions under which its set is entered."""
+    The early region is a share of all hash values, somewhat larger than a prefix: the same for all sets."""
     import numpy as np
 
-    order = np.argsort(often[0])
-    shared = texts.sparkSession.sparkContext.broadcast((often[0][order], often[1][order]))
-    band = light * 100 // percent
+    share = min(1.0, (100 - percent) / 60)
+    bound = np.uint64(int(share * (2**64 - 1)))
 
     def run(rows):
         import hashlib
@@ -152,53 +119,59 @@ def entries(texts: DataFrame, width: int, percent: int, often, light: int) -> Da
         import pyarrow as pa
 
         make = Shingler(width)
-        tokens, counts = shared.value
-
-        def keys(s):
-            n = len(s)
-            if n < 2:
-                return np.zeros(0, np.int64), np.zeros(0, np.int32)
-            rank = np.zeros(n, dtype=np.int64)
-            if len(tokens):
-                at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
-                rank = np.where(tokens[at] == s, counts[at], 0)
-            s = s[np.lexsort((s, rank))].view(np.uint64)
-            key, position = [], []
-            if n > light:
-                p = prefix(n, percent, 1)
-                key.append(s[:p] * np.uint64(0x9E3779B97F4A7C15))
-                position.append(np.arange(p))
-            if n <= band:
-                p = prefix(n, percent, 2)
-                i, j = np.triu_indices(p, 1)
-                pair = (np.minimum(s[i], s[j]) * np.uint64(0xC2B2AE3D27D4EB4F)) ^ np.maximum(s[i], s[j])
-                key.append((pair ^ (pair >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93))
-                position.append(i)
-            return np.concatenate(key).view(np.int64), np.concatenate(position).astype(np.int32)
-
         for batch in rows:
             ids, texts_ = batch.column("doc_id"), batch.column("text").cast(pa.binary())
             for at in range(0, batch.num_rows, 512):
-                n, digests, k, p, cuts = [], [], [], [], [0]
+                n, number, early, late, cuts, late_cuts = [], [], [], [], [0], [0]
                 for t in texts_.slice(at, 512):
                     s = make.set_of(t.as_py())
-                    a, b = keys(s)
+                    mixed = s.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+                    first = mixed <= bound
+                    x = s[first] if len(s) > 1 else s[:0]
+                    rest = np.sort(s[~first])[: max(0, prefix(len(s), percent, 2) - len(x))] if len(s) > 1 else s[:0]
                     n.append(len(s))
-                    digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                    k.append(a)
-                    p.append(b)
-                    cuts.append(cuts[-1] + len(a))
-                cuts = pa.array(cuts, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, 512), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(k))), pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(p)))],
-                    names=["doc_id", "n", "digest", "keys", "positions"],
-                )
-
-    return texts.mapInArrow(run, "doc_id long, n long, digest binary, keys array<long>, positions array<int>")
+                    number.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None)
+                    early.append(x)
+                    late.append(rest)
+                    cuts.append(cuts[-1] + len(x))
+                    late_cuts.append(late_cuts[-1] + len(rest))
+                lists = [pa.ListArray.from_arrays(pa.array(c, pa.int32()), pa.array(np.concatenate(v), pa.int64())) for c, v in ((cuts, early), (late_cuts, late))]
+                yield pa.RecordBatch.from_arrays([ids.slice(at, 512), pa.array(n, pa.int64()), pa.array(number, pa.int64()), *lists], names=["doc_id", "n", "class", "early", "late"])
+
+    return texts.mapInArrow(run, "doc_id long, n long, class long, early array<long>, late array<long>")
+
+
+def lists_of(rows: DataFrame, percent: int) -> DataFrame:
+    """k, class, n, p: the keys of the classes' prefixes that more than one class may share, and the key's place in the order.
+
+    The order of shingles: those of the early region before the others; in it, those of one class only first (they are in
+    no list), the rest by their count; then by hash.  Only the shingles of the early region are shuffled."""
+    early = rows.select("class", "n", F.size("early").alias("r"), F.explode("early").alias("t"), F.lit(-1).alias("late"))
+    late = rows.select("class", "n", F.size("early").alias("r"), F.posexplode("late").alias("late", "t")).select("class", "n", "r", "t", "late")
+    all_ = early.unionByName(late)
+    shared = all_.groupBy("t").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.count("*").alias("df")).where("a <> b").select("t", "df")
+    shared, shared_path = common.written(shared, "shared")
+    # Size histogram, in steps of a sixteenth, and the mean length of the lists that are scanned: they set the boundary.
+    step = F.expr("if(n < 64, n, cast(n div cast(pow(2, floor(log2(n)) - 4) as bigint) * cast(pow(2, floor(log2(n)) - 4) as bigint) as bigint))")
+    sizes = {r["s"]: r["n"] for r in rows.where("n > 1").groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()}
+    length = shared.where("df < 32").agg((F.sum(F.col("df").cast("double") * F.col("df")) / F.sum("df")).alias("x")).first()["x"] or 1.0
+    light = boundary(sizes, length, percent)
+    order = F.struct((F.col("late") >= 0).alias("after"), F.when(F.col("late") >= 0, F.col("late").cast("long")).otherwise(F.col("df")).alias("rank"), "t")
+    sets = all_.join(shared, "t").groupBy("class", "n", "r").agg(F.sort_array(F.collect_set(order)).alias("m"))
+    sets = sets.withColumn("alone", F.expr("r - size(filter(m, x -> not x.after))"))
+    place = F.expr("transform(m, (x, i) -> struct(if(x.after, r + x.rank, alone + i) as p, x.t as t))")
+    least = f"(({percent} * n + 99) div 100)"
+    single = f"if(n > {light}, transform(filter(m, x -> x.p < n - {least} + 1), x -> struct(xxhash64(x.t) as k, x.p as p)), array())"
+    double = f"""if(n <= {light * 100 // percent}, flatten(transform(filter(m, x -> x.p < n - {least} + 2), x -> transform(filter(m, y -> y.p < n - {least} + 2 and y.p > x.p),
+                 y -> struct(xxhash64(least(x.t, y.t), greatest(x.t, y.t)) as k, x.p as p)))), array())"""
+    keyed = sets.withColumn("m", place).select("class", "n", F.expr(f"explode(concat({single}, {double}))").alias("e"))
+    made, _ = common.written(keyed.select("e.k", "class", "n", F.col("e.p").cast("long").alias("p")), "keys")
+    common.remove(rows.sparkSession, shared_path)
+    return made
 
 
 def sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """digest and shingles of the wanted (doc_id, digest)."""
+    """class and shingles of the wanted (doc_id, class)."""
 
     def run(rows):
         import hashlib
@@ -207,19 +180,19 @@ def sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
         make = Shingler(width)
         for batch in rows:
-            for d, t in zip(batch.column("digest"), batch.column("text").cast(pa.binary()), strict=True):
+            for d, t in zip(batch.column("class").to_pylist(), batch.column("text").cast(pa.binary()), strict=True):
                 s = make.set_of(t.as_py())
-                if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d.as_py():
-                    yield pa.RecordBatch.from_arrays([pa.array([d.as_py()], pa.binary()), pa.array([s.tolist()], pa.list_(pa.int64()))], names=["digest", "shingles"])
+                if int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) == d:
+                    yield pa.RecordBatch.from_arrays([pa.array([d], pa.int64()), pa.array([s], pa.list_(pa.int64()))], names=["class", "shingles"])
 
-    found = texts.join(wanted, "doc_id").select("digest", "text").mapInArrow(run, "digest binary, shingles array<long>")
-    return found.dropDuplicates(["digest"])
+    found = texts.join(wanted, "doc_id").select("class", "text").mapInArrow(run, "class long, shingles array<long>")
+    return found.dropDuplicates(["class"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) of classes that link."""
-    left = sets.select(F.col("digest").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("digest").alias("b"), F.col("shingles").alias("y"))
+    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(right, "b").join(left, "a").withColumn("i", F.size(F.array_intersect("x", "y")))
     return both.where(F.lit(100) * F.col("i") >= F.lit(percent) * (F.size("x") + F.size("y") - F.col("i"))).select("a", "b")
 
@@ -251,7 +224,7 @@ def in_blocks(rows: DataFrame, percent: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        digests, labels = table["digest"].to_pylist(), table["label"].to_pylist()
+        owners, labels = table["class"].to_pylist(), table["label"].to_pylist()
         column = table["shingles"].combine_chunks()
         cuts = np.concatenate([[0], np.cumsum(np.diff(column.offsets.to_numpy()))])
         n = np.diff(cuts)
@@ -285,48 +258,48 @@ def in_blocks(rows: DataFrame, percent: int) -> DataFrame:
             p, q = root(group[x]), root(group[y])
             if p != q:
                 parent[p] = q
-                a.append(digests[x])
-                b.append(digests[y])
-        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+                a.append(owners[x])
+                b.append(owners[y])
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.groupBy("k", "i", "j").applyInArrow(lambda key, table: run(key, table), "a binary, b binary")
+    return rows.groupBy("k", "i", "j").applyInArrow(lambda key, table: run(key, table), "a long, b long")
 
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, digest (of the set; null if empty), label (the component's least digest; null if empty)."""
+    """doc_id, n_shingles, class (64 bits of the set's digest; null if empty), label (the component's least class; null if empty)."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    often, light = statistics(texts.select("text"), width, percent)
-    rows, rows_path = common.written(entries(texts, width, percent, often, light), "entries")
-    exploded = rows.select("digest", "n", F.explode(F.arrays_zip("keys", "positions")).alias("e")).select(F.col("e.keys").alias("k"), F.struct(F.col("e.positions").alias("p"), "digest", "n").alias("x"))
-    lists = exploded.groupBy("k").agg(F.min("x").alias("leader"), F.max("x").alias("other")).where("leader.digest <> other.digest").select("k", "leader")
-    shared, shared_path = common.written(exploded.join(lists, "k").select("k", "x.digest", "x.n", "x.p", "leader"), "lists")
-    wanted = rows.select("doc_id", "digest").join(shared.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    rows, rows_path = common.written(entries(texts, width, percent), "entries")
+    keys = lists_of(rows.where("class is not null"), percent)
+    keyed = keys.select("k", F.struct("p", "class", "n").alias("x"))
+    lists = keyed.groupBy("k").agg(F.min("x").alias("leader"), F.max("x").alias("other")).where("leader.class <> other.class").select("k", "leader")
+    shared, shared_path = common.written(keyed.join(lists, "k").select("k", "x.class", "x.n", "x.p", "leader"), "lists")
+    wanted = rows.select("doc_id", "class").join(shared.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     sets, sets_path = common.written(sets_of(texts, wanted, width), "sets")
 
     near = f"100 * least({{0}}, {{1}}) >= {percent} * greatest({{0}}, {{1}})"
     # If this is the first shingle two sets share, at most the rest of either is shared.
     reach = f"(100 + {percent}) * least({{0}} - {{2}}, {{1}} - {{3}}) >= {percent} * ({{0}} + {{1}})"
-    first = shared.where("digest <> leader.digest").where(near.format("n", "leader.n")).where(reach.format("n", "leader.n", "p", "leader.p"))
-    links, links_path = common.written(verified(first.select(F.col("leader.digest").alias("a"), F.col("digest").alias("b")).distinct(), sets, percent), "pairs")
+    first = shared.where("class <> leader.class").where(near.format("n", "leader.n")).where(reach.format("n", "leader.n", "p", "leader.p"))
+    links, links_path = common.written(verified(first.select(F.col("leader.class").alias("a"), F.col("class").alias("b")).distinct(), sets, percent), "pairs")
 
     labels = stars(links)
-    marked = shared.select("k", "digest", "n", "p").distinct().join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+    marked = shared.select("k", "class", "n", "p").distinct().join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
     marked, marked_path = common.written(marked, "marked")
     open_ = marked.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"), F.sum("n").alias("weight")).where("low <> high").select("k", "members", "weight")
     undone, undone_path = common.written(marked.join(open_, "k"), "undone")
     short = undone.where(F.col("members") <= SHORT_LIST)
     a, b = short.alias("a"), short.alias("b")
-    pairs = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.digest") < F.col("b.digest")) & (F.col("a.label") != F.col("b.label")) & F.expr(near.format("a.n", "b.n")) & F.expr(reach.format("a.n", "b.n", "a.p", "b.p")))
-    pairs = pairs.select(F.col("a.digest").alias("a"), F.col("b.digest").alias("b")).distinct()
+    pairs = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.class") < F.col("b.class")) & (F.col("a.label") != F.col("b.label")) & F.expr(near.format("a.n", "b.n")) & F.expr(reach.format("a.n", "b.n", "a.p", "b.p")))
+    pairs = pairs.select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
     long_ = undone.where(F.col("members") > SHORT_LIST).withColumn("blocks", F.expr(f"cast(greatest(ceil(members / {BLOCK_CLASSES}), ceil(weight / {BLOCK_SHINGLES})) as int)"))
-    long_ = long_.withColumn("own", F.pmod(F.xxhash64("digest"), "blocks")).select("k", "digest", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    long_ = long_.select("k", "digest", "label", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
-    more = verified(pairs, sets, percent).unionByName(in_blocks(long_.join(sets, "digest").select("k", "i", "j", "digest", "label", "shingles"), percent))
+    long_ = long_.withColumn("own", F.pmod(F.xxhash64("class"), "blocks")).select("k", "class", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    long_ = long_.select("k", "class", "label", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
+    more = verified(pairs, sets, percent).unionByName(in_blocks(long_.join(sets, "class").select("k", "i", "j", "class", "label", "shingles"), percent))
     final = stars(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
     common.remove(spark, shared_path, links_path, marked_path, undone_path, sets_path)
-    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(final.withColumnRenamed("node", "digest"), "digest", "left")
-    return out.select("doc_id", "n_shingles", "digest", F.coalesce("label", "digest").alias("label"))
+    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "class").join(final.withColumnRenamed("node", "class"), "class", "left")
+    return out.select("doc_id", "n_shingles", "class", F.coalesce("label", "class").alias("label"))
 
 
 def components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
