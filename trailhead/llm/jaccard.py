@@ -141,8 +141,8 @@ def entries(texts: DataFrame, width: int, percent: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, n long, class long, early array<long>, late array<long>")
 
 
-def lists_of(rows: DataFrame, percent: int) -> DataFrame:
-    """k, class, n, p: the keys of the classes' prefixes that more than one class may share, and the key's place in the order.
+def lists_of(rows: DataFrame, percent: int) -> tuple[DataFrame, int]:
+    """The greatest light size, and k, class, n, p: the keys of the classes' prefixes that more than one class may share, and the key's place in the order.
 
     The order of shingles: those of the early region before the others; in it, those of one class only first (they are in
     no list), the rest by their count; then by hash.  Only the shingles of the early region are shuffled."""
@@ -167,7 +167,7 @@ def lists_of(rows: DataFrame, percent: int) -> DataFrame:
     keyed = sets.withColumn("m", place).select("class", "n", F.expr(f"explode(concat({single}, {double}))").alias("e"))
     made, _ = common.written(keyed.select("e.k", "class", "n", F.col("e.p").cast("long").alias("p")), "keys")
     common.remove(rows.sparkSession, shared_path)
-    return made
+    return made, light
 
 
 def sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -270,7 +270,7 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows, rows_path = common.written(entries(texts, width, percent), "entries")
-    keys = lists_of(rows.where("class is not null"), percent)
+    keys, light = lists_of(rows.where("class is not null"), percent)
     keyed = keys.select("k", F.struct("p", "class", "n").alias("x"))
     lists = keyed.groupBy("k").agg(F.min("x").alias("leader"), F.max("x").alias("other")).where("leader.class <> other.class").select("k", "leader")
     shared, shared_path = common.written(keyed.join(lists, "k").select("k", "x.class", "x.n", "x.p", "leader"), "lists")
@@ -290,8 +290,12 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     undone, undone_path = common.written(marked.join(open_, "k"), "undone")
     short = undone.where(F.col("members") <= SHORT_LIST)
     a, b = short.alias("a"), short.alias("b")
-    pairs = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.class") < F.col("b.class")) & (F.col("a.label") != F.col("b.label")) & F.expr(near.format("a.n", "b.n")) & F.expr(reach.format("a.n", "b.n", "a.p", "b.p")))
-    pairs = pairs.select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
+    met = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.class") < F.col("b.class")) & (F.col("a.label") != F.col("b.label")) & F.expr(near.format("a.n", "b.n")))
+    met = met.groupBy(F.col("a.class").alias("a"), F.col("b.class").alias("b")).agg(F.count("*").alias("j"), F.min("a.n").alias("na"), F.min("b.n").alias("nb"), F.min("a.p").alias("pa"), F.min("b.p").alias("pb"))
+    # Large sets that link share, besides j shingles of their prefixes, at most what lies behind the prefix of one of them.
+    # A pair that also shares a long list is compared there, so here j and the first places are those of all lists.
+    enough = f"least(na, nb) <= {light * 100 // percent} or j + greatest(({percent} * na + 99) div 100, ({percent} * nb + 99) div 100) - 1 >= ({percent} * (na + nb) + {99 + percent}) div {100 + percent}"
+    pairs = met.where(enough).where(reach.format("na", "nb", "pa", "pb")).select("a", "b")
     long_ = undone.where(F.col("members") > SHORT_LIST).withColumn("blocks", F.expr(f"cast(greatest(ceil(members / {BLOCK_CLASSES}), ceil(weight / {BLOCK_SHINGLES})) as int)"))
     long_ = long_.withColumn("own", F.pmod(F.xxhash64("class"), "blocks")).select("k", "class", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
     long_ = long_.select("k", "class", "label", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
