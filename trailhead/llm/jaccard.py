@@ -288,25 +288,30 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     marked, marked_path = common.written(marked, "marked")
 
     def open_lists(found: DataFrame) -> DataFrame:
-        """Entries of lists whose classes are not all connected, with the list's members and weight."""
-        lists = found.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"), F.sum("n").alias("weight"))
-        return found.join(lists.where("low <> high").select("k", "members", "weight"), "k")
-
-    undone, undone_path = common.written(open_lists(marked), "undone")
-    # Long lists fall apart by size: linked sets lie in one band of sizes or in neighbouring ones.
+        """Entries of lists whose classes are not all connected, with the list's members and weight; in lists of sizes, of the
+        band that gives the list its name some member must be."""
+        lists = found.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"), F.sum("n").alias("weight"), F.max(F.col("own") == F.col("v")).alias("met"))
+        return found.join(lists.where("low <> high and met").select("k", "members", "weight"), "k")
+
+    undone, undone_path = common.written(open_lists(marked.withColumn("own", F.lit(0)).withColumn("v", F.lit(0))), "undone")
+    # Long lists that share their busiest class become one, so that a group of near copies is one list, not one per shingle.
+    # Each falls apart by size: linked sets lie in one band of sizes or in neighbouring ones, and meet in the list of the upper.
+    long_ = undone.where(F.col("members") > SHORT_LIST).select("k", "class", "n", "label")
+    busy = long_.join(long_.groupBy("class").agg(F.count("*").alias("lists")), "class")
+    heads = busy.groupBy("k").agg(F.max(F.struct("lists", "class")).alias("head")).select("k", F.col("head.class").alias("head"))
+    merged = long_.join(heads, "k").select("head", "class", "n", "label").distinct()
     band = F.expr(f"cast(floor(ln(n) / ln({100.1 / percent}D)) as int)")
-    banded = undone.where(F.col("members") > SHORT_LIST).withColumn("own", band).withColumn("v", F.explode(F.array("own", F.col("own") + 1)))
-    banded, banded_path = common.written(open_lists(banded.select(F.xxhash64("k", "v").alias("k"), "class", "n", "p", "label", "own", "v")), "banded")
-    small = undone.where(F.col("members") <= SHORT_LIST).select("k", "class", "n", "p", "label", F.lit(0).alias("own"), F.lit(0).alias("v"))
-    short = small.unionByName(banded.where(F.col("members") <= SHORT_LIST).select(small.columns))
+    banded = merged.withColumn("own", band).withColumn("v", F.explode(F.array("own", F.col("own") + 1)))
+    banded, banded_path = common.written(open_lists(banded.select(F.xxhash64("head", "v").alias("k"), "class", "n", "label", "own", "v")), "banded")
+    short = undone.where(F.col("members") <= SHORT_LIST)
     a, b = short.alias("a"), short.alias("b")
-    met = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.class") < F.col("b.class")) & (F.col("a.label") != F.col("b.label")) & F.expr(near.format("a.n", "b.n")) & (F.col("a.v") == F.greatest("a.own", "b.own")))
+    met = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.class") < F.col("b.class")) & (F.col("a.label") != F.col("b.label")) & F.expr(near.format("a.n", "b.n")))
     met = met.groupBy(F.col("a.class").alias("a"), F.col("b.class").alias("b")).agg(F.count("*").alias("j"), F.min("a.n").alias("na"), F.min("b.n").alias("nb"), F.min("a.p").alias("pa"), F.min("b.p").alias("pb"))
     # Large sets that link share, besides j shingles of their prefixes, at most what lies behind the prefix of one of them.
     # A pair that also shares a long list is compared there, so here j and the first places are those of all lists.
     enough = f"least(na, nb) <= {light * 100 // percent} or j + greatest(({percent} * na + 99) div 100, ({percent} * nb + 99) div 100) - 1 >= ({percent} * (na + nb) + {99 + percent}) div {100 + percent}"
     pairs = met.where(enough).where(reach.format("na", "nb", "pa", "pb")).select("a", "b")
-    long_ = banded.where(F.col("members") > SHORT_LIST).drop("own").withColumn("blocks", F.expr(f"cast(greatest(ceil(members / {BLOCK_CLASSES}), ceil(weight / {BLOCK_SHINGLES})) as int)"))
+    long_ = banded.drop("own").withColumn("blocks", F.expr(f"cast(greatest(ceil(members / {BLOCK_CLASSES}), ceil(weight / {BLOCK_SHINGLES})) as int)"))
     long_ = long_.withColumn("own", F.pmod(F.xxhash64("class"), "blocks")).select("k", "class", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
     long_ = long_.select("k", "class", "label", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
     more = verified(pairs, sets, percent).unionByName(in_blocks(long_.join(sets, "class").select("k", "i", "j", "class", "label", "shingles"), percent))
