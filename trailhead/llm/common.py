@@ -50,3 +50,16 @@ def fold_bucket(doc_id: Column, folds: int) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def slices(batch, column: str = "text", most_bytes: int = 1 << 21):
+    """Slices of an Arrow batch whose ``column`` holds at most ``most_bytes`` (or one row), so that work on one is bounded."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most_bytes, side="right")))
+        yield batch.slice(at, end - at)
+        at = end

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
+from trailhead.llm import common
+
 BITS = 15
 RESULTS = ["lang_pred", "lang_score", "lang_set"]
 
@@ -67,7 +69,7 @@ def fit(docs: DataFrame, bits: int = BITS) -> Model:
         import pyarrow as pa
 
         sums: dict[str, np.ndarray] = {}
-        for batch in rows:
+        for batch in (part for whole in rows for part in common.slices(whole)):
             bucket, cuts = grams(batch.column("text"), bits)
             language = batch.column("lang").to_pylist()
             owner = np.repeat(np.arange(len(language)), np.diff(cuts))
@@ -141,12 +143,12 @@ def predict(docs: DataFrame, model: Model, window: int = 48, bits: int = BITS) -
         import pyarrow.compute as pc
 
         languages, table = shared.value
-        for batch in rows:
+        for batch in (part for whole in rows for part in common.slices(whole)):
             text = batch.column("text")
             spoken = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False) & bool(languages)
             pred, score, sets = ["und"] * len(text), np.zeros(len(text)), [[] for _ in range(len(text))]
             at = np.flatnonzero(spoken)
-            for part in np.array_split(at, max(1, min(len(at), text.nbytes >> 21))) if len(at) else []:
+            for part in [at] if len(at) else []:
                 bucket, cuts = grams(text.take(pa.array(part)), bits)
                 n = -(-np.diff(cuts) // window)
                 starts = np.concatenate([[0], np.cumsum(n)[:-1]])

@@ -124,7 +124,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         import pyarrow as pa
 
         m = shared.value
-        for batch in rows:
+        for batch in (part for whole in rows for part in common.slices(whole)):
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             if any(m.weights):
                 s = 1 / (1 + np.exp(-np.clip(features(texts, m.good, m.bad, m.block) @ np.array(m.weights), -30, 30)))
