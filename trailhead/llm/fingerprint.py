@@ -3,7 +3,7 @@
 A text's words (split at white space, lower case) give shingles of ``width`` words, or one of all words if it has
 fewer.  Each shingle is hashed once to 64 bits; the top bits name its bin and the least hash of a bin stands for it.
 An empty bin takes the value of the first filled bin in a pseudo-random order of its own (optimal densification), and
-the low ``BITS`` bits of every bin are packed.  The share of equal bins, corrected for chance equality
+the low ``BITS`` bits of every bin (of its value hashed with its number) are packed.  The share of equal bins, corrected for chance equality
 (2 ** -BITS), estimates the Jaccard similarity of the shingle sets.
 
 Everything happens within a row; a fingerprint is 64 hex digits for each 64 bins.  Defined cases: a null or empty text,
@@ -52,7 +52,9 @@ def packed(text: str, width: int = 5) -> Column:
     full = f"transform(dense, (x, k) -> coalesce(x, {', '.join(at.format(t) for t in range(PROBES))}, {rest}))"
     filled = f"if(size(least) = {BINS}, least, if(size(least) = 1, array_repeat(least[0], {BINS}), {_let(dense, 'dense', full)}))"
     per = 64 // BITS
-    pack = f"transform(sequence(0, {BINS // per - 1}), j -> aggregate(slice(full, j * {per} + 1, {per}), 0L, (a, x) -> shiftleft(a, {BITS}) | (x & {(1 << BITS) - 1})))"
+    # A value that fills several bins is hashed with each bin's number, so that chance equality is chance in every bin.
+    low = f"transform(full, (x, k) -> xxhash64(x, k) & {(1 << BITS) - 1})"
+    pack = _let(low, "low", f"transform(sequence(0, {BINS // per - 1}), j -> aggregate(slice(low, j * {per} + 1, {per}), 0L, (a, x) -> shiftleft(a, {BITS}) | x))")
     body = _let(f"sort_array({hashes})", "sorted", _let(least, "least", _let(filled, "full", pack)))
     return F.expr(_let(f"coalesce({words}, array())", "words", f"if(size(words) = 0, cast(array() as array<bigint>), {body})"))
 
