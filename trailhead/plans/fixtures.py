@@ -20,12 +20,13 @@ SQL = {
           from customer, (select count(*) as nc from customer) t where c_custkey + 40 < nc) a) b where dst % 97 <> 96""",
     "landmarks": """select s_suppkey as id, concat(case s_suppkey % 8 when 0 then 'Market' when 1 then 'Hospital' when 2 then 'Church' when 3 then 'Bank' when 4 then 'School' when 5 then 'Hotel' when 6 then 'Eatery' else 'Stadium' end, ' ', s_suppkey % 301) as name,
         6.58e0 + (((s_suppkey * 7919) % nc) {div} 40) * 0.0009e0 + ((s_suppkey % 5) - 2) * 0.0001e0 as lat, -1.75e0 + (((s_suppkey * 7919) % nc) % 40) * 0.0009e0 + ((s_suppkey % 7) - 3) * 0.0001e0 as lon,
-        case s_suppkey % 8 when 0 then 5 when 1 then 4 when 2 then 2 when 3 then 2 when 4 then 3 when 5 then 3 when 6 then 2 else 4 end as imp, (s_suppkey * 7919) % nc as node from supplier, (select count(*) as nc from customer) t""",
+        case s_suppkey % 8 when 0 then 5 when 1 then 4 when 2 then 2 when 3 then 2 when 4 then 3 when 5 then 3 when 6 then 2 else 4 end as imp, (s_suppkey * 7919) % nc as node, case when s_suppkey % 3 = 0 then concat('NATION_', s_nationkey) else '' end as suburb from supplier, (select count(*) as nc from customer) t""",
+    "areas": "select n_name as name, 6.58e0 + ((n_nationkey * (nc {div} 40)) {div} 25) * 0.0009e0 as lat, -1.75e0 + ((n_nationkey * 7) % 40) * 0.0009e0 as lon from nation, (select count(*) as nc from customer) t",
 }
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    for t in ("customer", "supplier"):
+    for t in ("customer", "supplier", "nation"):
         table(spark, sf_dir, t).createOrReplaceTempView(t)
     return spark.sql(SQL[name].format(div="div"))
 

@@ -111,7 +111,7 @@ def _routes(spark, d, banned, road):
     e = fixture(spark, d, "edges").withColumnRenamed("len_dm", "metres")
     q = fixture(spark, d, "vertices")
     q = q.select(F.col("node").alias("query"), F.lit(0).cast("long").alias("src"), F.col("node").alias("dst"), F.lit(banned).cast("array<bigint>").alias("banned"), F.lit(road).cast("string").alias("banned_road"))
-    return roads.shortest(q, e).select("query", F.col("metres").alias("dm"), F.size("path").alias("nodes"))
+    return roads.shortest(q, e).select("query", F.col("metres").cast("long").alias("dm"), F.size("path").alias("nodes"))
 
 
 @query()
