@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailhead.llm import chat, common, fingerprint, jaccard, langid, neighbours, packing, pieces, quality, token_files, warc
+from trailhead.llm.oracle import ORACLE as ORACLE
 
 WORD_BPE, PIECE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
 ESCAPED = "\\### Assistant: </turn> ok"
