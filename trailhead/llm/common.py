@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Only a session on one machine (master ``local[...]``) may leave it unset; it then gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='trailhead-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -52,6 +56,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """What Spark expects ``df`` to hold, from the sizes of its files; nothing is read for it."""
+    n = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return n if n < 1 << 55 else 0  # unknown sizes are given as enormous
+
+
 def slices(batch, column: str = "text", most_bytes: int = 1 << 21):
     """Slices of an Arrow batch whose ``column`` holds at most ``most_bytes`` (or one row), so that work on one is bounded."""
     import numpy as np
@@ -63,3 +73,45 @@ def slices(batch, column: str = "text", most_bytes: int = 1 << 21):
         end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most_bytes, side="right")))
         yield batch.slice(at, end - at)
         at = end
+
+
+_KEPT: dict[str, dict] = {}
+
+
+def kept(owner: str) -> dict:
+    """What a Python worker keeps between the tasks of one operator (tokenizers, memos)."""
+    return _KEPT.setdefault(owner, {})
+
+
+def trim() -> None:
+    """Gives memory that is free in this process back to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def frugal(owner: str, run):
+    """``run`` (a function of Arrow batches) for workers that Spark reuses: what other operators kept in the worker is
+    dropped when it begins, and free memory is given back when it ends."""
+
+    def wrapped(batches):
+        from trailhead.llm import common
+
+        if common._KEPT.keys() - {owner}:
+            for other in common._KEPT.keys() - {owner}:
+                del common._KEPT[other]
+            common.trim()
+        try:
+            yield from run(batches)
+        finally:
+            common.trim()
+
+    return wrapped

@@ -13,7 +13,8 @@ length of inverted lists.  The common order puts a fixed share of all hash value
 and among these the shingles of only one class, which need no list, then the rarer; so counts of that share alone are
 gathered, and most documents have no list at all.  The order affects speed, not the links.
 
-A class is known by 64 bits of its set's digest: among ``n`` different sets the chance of a wrong class is under n * n / 2**65.
+Shingles and classes are known by 64 bits of a digest, so results are exact but for hash collisions: among ``n`` different
+sets the number of wrong classes to expect is n * n / 2**65 (for 5 * 10**10 documents about 70).
 
 Only connectivity is wanted, so not all pairs of a list are made.  Equal sets are one class.  Then
 
@@ -22,28 +23,26 @@ Only connectivity is wanted, so not all pairs of a list are made.  Equal sets ar
 3. in the others, classes not yet connected are compared exactly: short lists by a join, long ones in blocks of
    bounded size, where only links between different components are kept.
 
-No list is capped or sampled, and sets are fetched only for classes that share a list.  Words are cut and hashed in
+No list is capped or sampled, and sets are fetched only for classes that share a list, from one row of each.  Words are cut and hashed in
 Python on Arrow batches; joins, verification, and components (large-star / small-star) are DataFrame operations over
 written tables.
 
 Defined cases: null or empty text and text without words have an empty set and link with nothing; a text of fewer words
-than ``width`` has its whole word sequence as its one shingle; repeated rows and ids are kept, one result row each; a
-null doc_id stays null and names no component if another id is there; an empty table gives no rows; other columns are ignored.
+than ``width`` has its whole word sequence as its one shingle; very long texts count whole; repeated rows and ids are kept,
+one result row each, each text judged by itself; a null doc_id stays null and names no component if another id is there, but
+its text links like any other; an empty table gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailhead.llm import common
 
-WORD_MEMO = 500_000
+WORD_MEMO = 1 << 17
 SHORT_LIST = 16
 BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 1 << 20
-WIDE_SPACE = re.compile(rb"[\x20\x09-\x0d]+")
 
 
 class Shingler:
@@ -103,46 +102,60 @@ def boundary(sizes: dict[int, int], list_length: float, percent: int) -> int:
     return at
 
 
+def digest(shingles) -> int:
+    """The class of a set: 64 bits of its digest."""
+    import hashlib
+
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
+def numbers(lists: list):
+    """An Arrow list column of numpy arrays of 64-bit integers."""
+    import numpy as np
+    import pyarrow as pa
+
+    cuts = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *lists]), pa.int64()))
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    """doc_id, h (64 bits of the text's hash; with the id it tells rows apart), text."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+
+
 def entries(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, class (64 bits of the set's digest; null if empty) of every row, the shingles of the set's early region and,
+    """doc_id, h, n, class (64 bits of the set's digest; null if empty) of every row, the shingles of the set's early region and,
     if those may not fill the prefix, the first ones (``late``) of the rest.
 
-    The early region is a share of all hash values, somewhat larger than a prefix: the same for all sets."""
+    The early region is a share of all hash values, somewhat larger than a prefix: the same for all sets.  Work is done,
+    and handed on, for slices of bounded bytes (or one row)."""
     import numpy as np
 
     share = min(1.0, (100 - percent) / 60)
     bound = np.uint64(int(share * (2**64 - 1)))
 
     def run(rows):
-        import hashlib
-
         import pyarrow as pa
 
         make = Shingler(width)
-        for batch in rows:
-            ids, texts_ = batch.column("doc_id"), batch.column("text").cast(pa.binary())
-            for at in range(0, batch.num_rows, 512):
-                n, number, early, late, cuts, late_cuts = [], [], [], [], [0], [0]
-                for t in texts_.slice(at, 512):
-                    s = make.set_of(t.as_py())
-                    mixed = s.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-                    first = mixed <= bound
-                    x = s[first] if len(s) > 1 else s[:0]
-                    rest = np.sort(s[~first])[: max(0, prefix(len(s), percent, 2) - len(x))] if len(s) > 1 else s[:0]
-                    n.append(len(s))
-                    number.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None)
-                    early.append(x)
-                    late.append(rest)
-                    cuts.append(cuts[-1] + len(x))
-                    late_cuts.append(late_cuts[-1] + len(rest))
-                lists = [pa.ListArray.from_arrays(pa.array(c, pa.int32()), pa.array(np.concatenate(v), pa.int64())) for c, v in ((cuts, early), (late_cuts, late))]
-                yield pa.RecordBatch.from_arrays([ids.slice(at, 512), pa.array(n, pa.int64()), pa.array(number, pa.int64()), *lists], names=["doc_id", "n", "class", "early", "late"])
-
-    return texts.mapInArrow(run, "doc_id long, n long, class long, early array<long>, late array<long>")
-
-
-def lists_of(rows: DataFrame, percent: int) -> tuple[DataFrame, int]:
-    """The greatest light size, and k, class, n, p: the keys of the classes' prefixes that more than one class may share, and the key's place in the order.
+        for batch in (part for whole in rows for part in common.slices(whole)):
+            n, number, early, late = [], [], [], []
+            for t in batch.column("text").cast(pa.binary()):
+                s = make.set_of(t.as_py())
+                first = s.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) <= bound
+                x = s[first] if len(s) > 1 else s[:0]
+                n.append(len(s))
+                number.append(digest(s) if len(s) else None)
+                early.append(x)
+                late.append(np.sort(s[~first])[: max(0, prefix(len(s), percent, 2) - len(x))] if len(s) > 1 else s[:0])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(n, pa.int64()), pa.array(number, pa.int64()), numbers(early), numbers(late)], names=["doc_id", "h", "n", "class", "early", "late"])
+
+    return texts.mapInArrow(common.frugal("shingles", run), "doc_id long, h long, n long, class long, early array<long>, late array<long>")
+
+
+def lists_of(rows: DataFrame, percent: int) -> tuple[DataFrame, str, int]:
+    """A written table of k, class, n, p, its path, and the greatest light size: the keys of the classes' prefixes that more than one class may share, and the key's place in the order.
 
     The order of shingles: those of the early region before the others; in it, those of one class only first (they are in
     no list), the rest by their count; then by hash.  Only the shingles of the early region are shuffled."""
@@ -165,28 +178,41 @@ def lists_of(rows: DataFrame, percent: int) -> tuple[DataFrame, int]:
     double = f"""if(n <= {light * 100 // percent}, flatten(transform(filter(m, x -> x.p < n - {least} + 2), x -> transform(filter(m, y -> y.p < n - {least} + 2 and y.p > x.p),
                  y -> struct(xxhash64(least(x.t, y.t), greatest(x.t, y.t)) as k, x.p as p)))), array())"""
     keyed = sets.withColumn("m", place).select("class", "n", F.expr(f"explode(concat({single}, {double}))").alias("e"))
-    made, _ = common.written(keyed.select("e.k", "class", "n", F.col("e.p").cast("long").alias("p")), "keys")
+    made, path = common.written(keyed.select("e.k", "class", "n", F.col("e.p").cast("long").alias("p")), "keys")
     common.remove(rows.sparkSession, shared_path)
-    return made, light
+    return made, path, light
 
 
-def sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """class and shingles of the wanted (doc_id, class)."""
+def same_row(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (doc_id, h) whose id (null equals null) and h are in ``chosen``, with chosen's further columns."""
+    key = lambda: [F.coalesce("doc_id", F.lit(0)).alias("id0"), F.col("doc_id").isNull().alias("no_id"), F.col("h").alias("h0")]
+    right = chosen.select(*key(), *[c for c in chosen.columns if c not in ("doc_id", "h")])
+    return docs.select(*docs.columns, *key()).join(right, ["id0", "no_id", "h0"])
+
+
+def first_rows(rows: DataFrame, group: str) -> DataFrame:
+    """Of each ``group``: doc_id and h of its first row, by id (null last) and h, and ``copies``, the rows alike in both."""
+    alike = rows.groupBy(group, "doc_id", "h").agg(F.count("*").alias("copies"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "copies"))
+    return alike.groupBy(group).agg(least.alias("r")).select(group, "r.doc_id", "r.h", "r.copies")
 
-    def run(rows):
-        import hashlib
 
+def sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> tuple[DataFrame, str]:
+    """A written table of class and shingles of the wanted classes, each from the row that ``wanted`` (class, doc_id, h, copies) names."""
+
+    def run(rows):
         import pyarrow as pa
 
         make = Shingler(width)
-        for batch in rows:
-            for d, t in zip(batch.column("class").to_pylist(), batch.column("text").cast(pa.binary()), strict=True):
-                s = make.set_of(t.as_py())
-                if int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) == d:
-                    yield pa.RecordBatch.from_arrays([pa.array([d], pa.int64()), pa.array([s], pa.list_(pa.int64()))], names=["class", "shingles"])
+        for batch in (part for whole in rows for part in common.slices(whole)):
+            sets = [make.set_of(t.as_py()) for t in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("class"), batch.column("copies"), numbers(sets)], names=["class", "copies", "shingles"])
 
-    found = texts.join(wanted, "doc_id").select("class", "text").mapInArrow(run, "class long, shingles array<long>")
-    return found.dropDuplicates(["class"])
+    found = same_row(texts, wanted).select("class", "copies", "text").mapInArrow(common.frugal("shingles", run), "class long, copies long, shingles array<long>")
+    made, path = common.written(found, "sets")
+    # Only rows that are there several times need to be reduced to one, so most sets are not shuffled for it.
+    once = made.where("copies = 1").unionByName(made.where("copies > 1").dropDuplicates(["class"]))
+    return once.select("class", "shingles"), path
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -266,16 +292,19 @@ def in_blocks(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, class (64 bits of the set's digest; null if empty), label (the component's least class; null if empty)."""
+    """doc_id, h, n_shingles, class (64 bits of the set's digest; null if empty), label (the component's least class; null if empty)."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts_of(docs)
     rows, rows_path = common.written(entries(texts, width, percent), "entries")
-    keys, light = lists_of(rows.where("class is not null"), percent)
+    keys, keys_path, light = lists_of(rows.where("class is not null"), percent)
     keyed = keys.select("k", F.struct("p", "class", "n").alias("x"))
+    # Tables of lists are written before they meet their entries, so that a list with very many entries can be split among tasks.
     lists = keyed.groupBy("k").agg(F.min("x").alias("leader"), F.max("x").alias("other")).where("leader.class <> other.class").select("k", "leader")
+    lists, leaders_path = common.written(lists, "leaders")
     shared, shared_path = common.written(keyed.join(lists, "k").select("k", "x.class", "x.n", "x.p", "leader"), "lists")
-    wanted = rows.select("doc_id", "class").join(shared.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    sets, sets_path = common.written(sets_of(texts, wanted, width), "sets")
+    common.remove(spark, keys_path, leaders_path)
+    wanted = first_rows(rows.select("class", "doc_id", "h").join(shared.select("class").distinct(), "class", "left_semi"), "class")
+    sets, sets_path = sets_of(texts, wanted, width)
 
     near = f"100 * least({{0}}, {{1}}) >= {percent} * greatest({{0}}, {{1}})"
     # If this is the first shingle two sets share, at most the rest of either is shared.
@@ -291,8 +320,11 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         """Entries of lists whose classes are not all connected, with the list's members and weight; in lists of sizes, of the
         band that gives the list its name some member must be."""
         lists = found.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"), F.sum("n").alias("weight"), F.max(F.col("own") == F.col("v")).alias("met"))
-        return found.join(lists.where("low <> high and met").select("k", "members", "weight"), "k")
+        lists, path = common.written(lists.where("low <> high and met").select("k", "members", "weight"), "open")
+        open_paths.append(path)
+        return found.join(lists, "k")
 
+    open_paths: list[str] = []
     undone, undone_path = common.written(open_lists(marked.withColumn("own", F.lit(0)).withColumn("v", F.lit(0))), "undone")
     # Long lists that share their busiest class become one, so that a group of near copies is one list, not one per shingle.
     # Each falls apart by size: linked sets lie in one band of sizes or in neighbouring ones, and meet in the list of the upper.
@@ -316,9 +348,9 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     long_ = long_.select("k", "class", "label", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
     more = verified(pairs, sets, percent).unionByName(in_blocks(long_.join(sets, "class").select("k", "i", "j", "class", "label", "shingles"), percent))
     final = stars(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
-    common.remove(spark, shared_path, links_path, marked_path, undone_path, banded_path, sets_path)
-    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "class").join(final.withColumnRenamed("node", "class"), "class", "left")
-    return out.select("doc_id", "n_shingles", "class", F.coalesce("label", "class").alias("label"))
+    common.remove(spark, shared_path, links_path, marked_path, undone_path, banded_path, sets_path, *open_paths)
+    out = rows.select("doc_id", "h", F.col("n").alias("n_shingles"), "class").join(final.withColumnRenamed("node", "class"), "class", "left")
+    return out.select("doc_id", "h", "n_shingles", "class", F.coalesce("label", "class").alias("label"))
 
 
 def components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -326,3 +358,17 @@ def components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     found = classes(docs, width, percent)
     least = found.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return found.join(least, "label", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def representatives(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component: of the smallest doc_id (a null one last), then of the least text hash; of rows
+    alike in both, any.  Rows without words link with nothing, so all of them stay."""
+    label = classes(docs, width, percent).where("label is not null").select("label", "doc_id", "h")
+    first = first_rows(label, "label").select("doc_id", "h", "copies")
+    own = docs.columns
+    # Own columns travel in one struct, so no name of theirs can clash; the id's and the text's types stay theirs too.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.rlike(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]")).alias("words"))
+    found = same_row(rows.where("words"), first)
+    # Rows alike in id and text lie together by now.
+    once = found.dropDuplicates(["id0", "no_id", "h0"])
+    return once.select("row").unionByName(rows.where("not words").select("row")).select("row.*")

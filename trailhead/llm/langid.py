@@ -83,7 +83,7 @@ def fit(docs: DataFrame, bits: int = BITS) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at, pa.int32()), pa.array(c[at], pa.int64())], names=["lang", "bucket", "n"])
 
     known = docs.select("text", "lang").where("text is not null and lang is not null")
-    found = known.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    found = known.mapInArrow(common.frugal("language", count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(found["lang"].unique().tolist())
     counts = np.zeros((len(languages), 1 << bits))
     for k, name in enumerate(languages):
@@ -162,4 +162,4 @@ def predict(docs: DataFrame, model: Model, window: int = 48, bits: int = BITS) -
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred), pa.array(score, pa.float64()), pa.array(sets, pa.list_(pa.string()))], names=[*batch.schema.names, *RESULTS])
 
     new = [StructField("lang_pred", StringType()), StructField("lang_score", DoubleType()), StructField("lang_set", ArrayType(StringType()))]
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *new]))
+    return docs.mapInArrow(common.frugal("language", run), StructType([*docs.schema.fields, *new]))

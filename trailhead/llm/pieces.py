@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from trailhead.llm import common
+
 MARK = "▁"
 MEMO_WORDS = 400_000
 ROWS = 128
@@ -127,13 +129,12 @@ class Pieces:
         return text[1:] if text[:1] == b" " else text
 
 
-_LOADED: dict[str, Pieces] = {}
-
-
 def loaded(path: str) -> Pieces:
-    if path not in _LOADED:
-        _LOADED[path] = Pieces(path)
-    return _LOADED[path]
+    """One automaton for each Python worker and file."""
+    held = common.kept("pieces")
+    if path not in held:
+        held[path] = Pieces(path)
+    return held[path]
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
@@ -153,7 +154,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                 flat = pa.Array.from_buffers(pa.int32(), int(cuts[-1]), [None, pa.py_buffer(b"".join(made))])
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat)], names=[*batch.schema.names, "ids"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
+    return docs.mapInArrow(common.frugal("pieces", run), StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
 
 
 def decode(encoded: DataFrame, model: str, into: str = "decoded") -> DataFrame:
@@ -170,7 +171,7 @@ def decode(encoded: DataFrame, model: str, into: str = "decoded") -> DataFrame:
                 texts = [p.decode(x.values.to_numpy()).decode("utf-8", "replace") if x.is_valid else None for x in batch.column("ids")]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
 
-    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(into, StringType())]))
+    return encoded.mapInArrow(common.frugal("pieces", run), StructType([*encoded.schema.fields, StructField(into, StringType())]))
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
