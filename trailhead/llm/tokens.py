@@ -9,8 +9,12 @@ from __future__ import annotations
 import os
 import unicodedata
 
+from trailhead.llm import common
+
 MEMO_WORDS = 500_000
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+#: Characters that are still a letter or an ASCII digit at their end once they are lower-case and composed (U+0130 is not).
+ENDS = frozenset(chr(c) for c in range(0x250) if chr(c) in "0123456789" or unicodedata.category(unicodedata.normalize("NFC", chr(c).lower())[-1])[0] == "L")
 
 
 class Memo(dict):
@@ -33,7 +37,7 @@ class Memo(dict):
             # Latin letters alone are one unit to the tokenizer: its BPE model gets them at once, in the byte-level alphabet.
             return b"".join([t.id.to_bytes(4, "little") for t in self.tokenize(text.translate(self.alphabet))])
         stem = word.rstrip(PUNCTUATION)
-        if stem and len(stem) < len(word) and b"<|" not in word and (c := stem.decode("utf-8", "replace")[-1]) < "\u0250" and c.isalnum() and (c.isascii() or c.isalpha()):
+        if stem and len(stem) < len(word) and b"<|" not in word and stem.decode("utf-8", "replace")[-1] in ENDS:
             # Units end between a letter or digit and the punctuation after it.
             return self[stem] + self[word[len(stem) :]]
         return b"".join([i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
@@ -72,13 +76,10 @@ class WordEncoder:
 
 def encoder(path: str, end_id: int | None = 1, memo_words: int = MEMO_WORDS) -> WordEncoder:
     """One encoder for each Python worker, settings and file."""
-    key = (path, end_id, memo_words)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(*key)
-    return _ENCODERS[key]
-
-
-_ENCODERS: dict[tuple, WordEncoder] = {}
+    key, held = (path, end_id, memo_words), common.kept("tokens")
+    if key not in held:
+        held[key] = WordEncoder(*key)
+    return held[key]
 
 
 def batches(texts, ids, most_docs: int = 256, most_bytes: int = 1 << 20):
