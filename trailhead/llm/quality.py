@@ -1,23 +1,25 @@
-"""Quality by compression: two zstandard dictionaries, one of good and one of bad labelled text.
+"""Quality by compression: two zstandard dictionaries, trained on good and on bad labelled text.
 
 A text is cut into blocks of ``block`` bytes, each is compressed with either dictionary, and the difference of the
 compressed sizes over their sum is the text's margin.  Short blocks keep the dictionaries decisive however long the
 text is.  Logistic regression on labelled texts that the dictionaries were not made from turns margin (and the plain
 compression ratio) into a score from 0 to 1, with the margin's spread for a text of that length taken into account.
 
-Bounds of the fit: at most ``dictionary_blocks`` blocks of ``dictionary_docs`` labelled rows for each dictionary and
-``calibration_docs`` labelled rows of each class for the calibration, all taken in the order of a hash.  Scoring covers
-whole texts of all rows, a batch at a time.
+Bounds of the fit: at most ``dictionary_blocks`` blocks, from labelled rows of ``dictionary_docs`` ids, for each dictionary, and
+the features of ``calibration_docs`` labelled rows of each class for the calibration, all taken in the order of a hash; no
+more comes to the driver, however often an id is repeated.  Scoring covers whole texts of all rows, a batch at a time.
 
-Defined cases: null and empty texts have margin 0 and score ``model.empty``; a repeated doc_id is scored for each row;
-a missing class gives the share of good labels as every score; an empty table gives no rows.
+Defined cases: null and empty texts have margin 0 and score ``model.empty``; a repeated doc_id is scored for each row; an id
+with both labels counts as good; a missing class gives the share of good labels as every score; too few blocks to train a
+dictionary make it the blocks themselves; an empty table gives no rows; further columns stay, whatever their names, but an
+own ``quality_score`` is replaced.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailhead.llm import common
@@ -39,7 +41,7 @@ def features(texts: list[bytes], good: bytes, bad: bytes, block: int, level: int
 
     pair = []
     for d in (good, bad):
-        dictionary = z.ZstdCompressionDict(d, dict_type=z.DICT_TYPE_RAWCONTENT)
+        dictionary = z.ZstdCompressionDict(d)
         dictionary.precompute_compress(level=level)
         pair.append(z.ZstdCompressor(level=level, dict_data=dictionary, write_content_size=False, write_dict_id=False))
     out = np.zeros((len(texts), 4))
@@ -54,6 +56,16 @@ def features(texts: list[bytes], good: bytes, bad: bytes, block: int, level: int
     return out
 
 
+def dictionary(blocks: list[bytes], size: int = 1 << 18) -> bytes:
+    """A trained dictionary of ``size`` bytes at most; the blocks themselves where they are too few to train one."""
+    import zstandard as z
+
+    try:
+        return z.train_dictionary(size, blocks).as_bytes()
+    except z.ZstdError:
+        return b"\n".join(blocks)[-size:]
+
+
 def logistic(x, y, steps: int = 50, ridge: float = 1e-3):
     """Newton's method for ridge-penalised logistic regression."""
     import numpy as np
@@ -69,7 +81,7 @@ def logistic(x, y, steps: int = 50, ridge: float = 1e-3):
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, block: int = 1024, dictionary_docs: int = 1500, dictionary_blocks: int = 384, calibration_docs: int = 3000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, block: int = 1024, dictionary_docs: int = 1500, dictionary_blocks: int = 1500, calibration_docs: int = 3000) -> Model:
     """Learn from rows of ``docs`` (doc_id, text) with a quality in ``labels``.
 
     Ids are drawn first, from ids and labels alone; at most ``2 * (dictionary_docs + calibration_docs)`` of them are
@@ -89,9 +101,11 @@ def fit(docs: DataFrame, labels: DataFrame, block: int = 1024, dictionary_docs:
     cut = F.expr(f"explode(transform(sequence(0, cast((length(text) - 1) div {block} as int)), i -> substring(text, i * {block} + 1, {block})))")
     blocks = rows.where("part = 0").select("quality", "o", cut.alias("b")).select("quality", F.xxhash64("o", "b").alias("o"), "b")
     texts = {q: [r.b.encode() for r in blocks.where(F.col("quality") == q).orderBy("o", "b").limit(dictionary_blocks).select("b").collect()] for q in (0, 1)}
-    good, bad = b"\n".join(texts[1]), b"\n".join(texts[0])
-    # Whole texts are measured where they lie; only their features come to the driver.
-    found = rows.where("part = 1").select("quality", "text").mapInArrow(_measure(good, bad, block), "quality int, f array<double>").collect()
+    good, bad = dictionary(texts[1]), dictionary(texts[0])
+    # Whole texts are measured where they lie; only features, of a bounded number of rows, come to the driver.
+    found = rows.where("part = 1").select("quality", "o", "text").mapInArrow(common.frugal("quality", _measure(good, bad, block)), "quality int, o long, f array<double>")
+    nth = F.row_number().over(Window.partitionBy("quality").orderBy("o", "f"))
+    found = found.withColumn("nth", nth).where(F.col("nth") <= calibration_docs).select("quality", "f").collect()
     if not good or not bad or len({r.quality for r in found}) < 2:
         return Model(b" ", b" ", [0.0] * 4, block, share)
     x, y = np.array([r.f for r in found]), np.array([float(r.quality) for r in found])
@@ -107,9 +121,9 @@ def _measure(good: bytes, bad: bytes, block: int):
     def run(rows):
         import pyarrow as pa
 
-        for batch in rows:
+        for batch in (part for whole in rows for part in common.slices(whole)):
             x = features(batch.column("text").cast(pa.binary()).to_pylist(), good, bad, block)
-            yield pa.RecordBatch.from_arrays([batch.column("quality").cast(pa.int32()), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["quality", "f"])
+            yield pa.RecordBatch.from_arrays([batch.column("quality").cast(pa.int32()), batch.column("o"), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["quality", "o", "f"])
 
     return run
 
@@ -135,7 +149,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     from pyspark.sql.types import DoubleType, StructField, StructType
 
-    return docs.drop("quality_score").mapInArrow(run, StructType([*schema.fields, StructField("quality_score", DoubleType())]))
+    return docs.drop("quality_score").mapInArrow(common.frugal("quality", run), StructType([*schema.fields, StructField("quality_score", DoubleType())]))
 
 
 def train_rows(docs: DataFrame, folds: int = 5) -> DataFrame:
