@@ -1,6 +1,6 @@
 """Token-ID output: Parquet list columns, selective reads.
 
-``write_tokens`` lays out one row per document in ascending ``doc_id`` order (null ids first, ties by text):
+``write_tokens`` lays out one row per document in ascending ``doc_id`` order (null ids first, ties by the text's hash):
 
 * ``shard``, ``row``: number of the file's range and the row in it; ``start``: ids before the row in its shard,
 * ``n_tokens``: ids of the document with its end id; ``ids``: ``list<int>``.
@@ -10,7 +10,7 @@ DELTA_BINARY_PACKED.  Row groups and pages are of a set size; Parquet's column a
 filter on ``doc_id`` skips pages, and reading ``n_tokens`` alone never touches the ids.
 
 Defined cases: null text counts as empty (its only id is the end id); an empty table gives no rows; further columns
-of the input, whatever their names, are ignored; repeated rows are each written.
+of the input, whatever their names, are ignored; repeated rows are each written; very long texts are one row each.
 """
 
 from __future__ import annotations
@@ -23,11 +23,13 @@ from trailhead.llm import common, tokens
 SCHEMA = "doc_id long, shard int, row long, start long, n_tokens long, ids array<int>"
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, encoding: str = "dictionary", row_group_mb: int = 16, page_kb: int = 64, shards: int | None = None) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, encoding: str = "dictionary", row_group_mb: int = 16, page_kb: int = 64, shard_mb: int = 256, shards: int | None = None) -> None:
     """Encode every whole text and write the ids to ``path``, by ranges of ``doc_id``.
 
     Only the texts are shuffled, once, and before they are encoded, so that the sampling of the ranges encodes nothing.
-    A task holds one Arrow batch of texts and ids.
+    There are as many ranges as keep a shard near ``shard_mb`` of the input's files (or ``spark.sql.shuffle.partitions``, if
+    more).  Rows of one id are ranged by the text's hash, and equal rows by where they are read, so that no id is too large
+    for a task.  A task holds one Arrow batch of texts and ids.
     """
 
     def encode(rows):
@@ -50,13 +52,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, en
                 )
                 row, start = row + len(n), start + int(ends[-1])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    ranged = rows.repartitionByRange(shards or common.partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", F.col("text"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"), F.spark_partition_id().alias("at"))
+    shards = shards or max(common.partitions(docs.sparkSession), common.input_bytes(docs) // (shard_mb << 20) + 1)
+    ranged = rows.repartitionByRange(shards, "doc_id", "h", "at").sortWithinPartitions("doc_id", "h", "at").select("doc_id", "text")
     options = {
         "compression": "zstd", "parquet.block.size": str(row_group_mb << 20), "parquet.page.size": str(page_kb << 10), "parquet.page.write-checksum.enabled": "true",
         "parquet.enable.dictionary": str(encoding == "dictionary").lower(), "parquet.dictionary.page.size": str(1 << 20), "parquet.writer.version": "PARQUET_2_0", "parquet.column.index.truncate.length": "64",
     }
-    ranged.mapInArrow(encode, SCHEMA).write.options(**options).parquet(path)
+    ranged.mapInArrow(common.frugal("tokens", encode), SCHEMA).write.options(**options).parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -95,4 +99,4 @@ def digest(found: DataFrame) -> DataFrame:
             n = pa.array((cuts[1:] - cuts[:-1]) // 4, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), n, pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return found.select("doc_id", "start", "ids").mapInArrow(crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return found.select("doc_id", "start", "ids").mapInArrow(common.frugal("tokens", crc), "doc_id long, start long, n_tokens long, ids_crc32 long")
