@@ -31,10 +31,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near duplicates the row of the smallest doc_id.  Rows without an id keep one row per text."""
-    kept = jaccard.components(docs, NEAR_WIDTH, NEAR_PERCENT).where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rows.unionByName(docs.where("doc_id is null").dropDuplicates(["text"])).select(docs.columns)
+    """Keeps one row of each group of near duplicates: the smallest doc_id's (null last), then the least text hash's.
+
+    Rows of one id with unrelated texts are in different groups; rows without words are no one's duplicates and all stay."""
+    return jaccard.representatives(docs, NEAR_WIDTH, NEAR_PERCENT)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
