@@ -147,18 +147,6 @@ def test_fingerprints_estimate_jaccard(spark):
     assert abs(np.mean(miss)) < 0.01 and np.std(miss) < 0.06
 
 
-def test_warc_round_trip(spark):
-    page = "<html lang='fr'><head><title>T &amp; U</title></head><body><p>a<br>b<script>x</script> c</p><a href='/z'>l</a></body></html>"
-    pages = spark.createDataFrame([(1, "http://e/\r\nx", page), (None, None, None)], "page_id long, url string, html string")
-    path = common.new_path(spark, "w")
-    warc.write(warc.derive(warc.responses(pages)), path)
-    got = {(r["source_id"], r["warc_type"]): r for r in warc.read(spark, path).collect()}
-    assert len(got) == 4 and all(r["intact"] for r in got.values())
-    assert got["1", "conversion"]["block"] == "a\nb c\nl" and got["", "conversion"]["block"] == ""
-    assert "title: T & U\r\n" in got["1", "metadata"]["block"] and "outlink: /z\r\n" in got["1", "metadata"]["block"] and "language: fr" in got["1", "metadata"]["block"]
-    assert got["1", "metadata"]["refers_to"] == got["1", "conversion"]["refers_to"] and got["1", "conversion"]["source_digest"] == warc.digest(page.encode())
-
-
 def test_quality(spark, edge, empty):
     rows = queries.op8_quality(spark, "/root/testdata/sf0.01").where("held_out").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").collect()
     assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.9

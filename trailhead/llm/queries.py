@@ -52,10 +52,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.new_path(spark, "warc")
     warc.write(warc.derive(warc.responses(common.table(spark, sf_dir, "pages"))), path)
     found = warc.read(spark, path)
-    links = F.regexp_count("block", F.lit("(?m)^outlink: "))
+    text = F.col("block").cast("string")
+    links = F.regexp_count(text, F.lit("(?m)^outlink: "))
     return found.select(
-        F.col("source_id").cast("long").alias("page_id"), "warc_type", "record_id", "refers_to", "target_uri", "source_digest", "block_digest", "intact",
-        F.octet_length("block").cast("long").alias("n_bytes"), F.when(F.col("warc_type") == "metadata", links).cast("long").alias("n_links"), F.when(F.col("warc_type") == "conversion", F.length("block")).cast("long").alias("n_chars"),
+        F.expr("try_cast(source_id as bigint)").alias("page_id"), "warc_type", "record_id", "refers_to", "target_uri", "source_digest", "block_digest", "intact",
+        F.octet_length("block").cast("long").alias("n_bytes"), F.when(F.col("warc_type") == "metadata", links).cast("long").alias("n_links"), F.when(F.col("warc_type") == "conversion", F.length(text)).cast("long").alias("n_chars"),
     )
 
 
