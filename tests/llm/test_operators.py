@@ -51,6 +51,44 @@ def test_neighbours_edges(spark):
     got = [(r["rank"], r["vec_id"]) for r in neighbours.nearest(v, F.col("vec_id") == 0).orderBy("rank").collect()]
     assert got == [(1, 1), (2, 6), (3, 7)]
     assert neighbours.nearest(v.where("false"), F.col("vec_id") == 0).count() == 0
+    assert neighbours.nearest(v, F.col("vec_id") == 3).count() == 0
+
+
+def test_neighbours_repeats_lengths_and_clashing_names(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.standard_normal(4)]) for i in range(120)]
+    rows += [(200 + i, [1.0, 2.0, 2.0, 4.0]) for i in range(40)] + [(7, [9.0, 1.0, 0.0, 0.0]), (7, [9.0, 1.0, 0.0, 0.0]), (None, [1.0, 2.0, 2.0, 4.0])]
+    rows += [(300 + i, [float(i), 1.0]) for i in range(12)] + [(400, [])]
+    v = spark.createDataFrame([(i, e, "q", 1.5, 3) for i, e in rows], "vec_id long, embedding array<double>, q string, score double, rank int")
+    is_query = F.col("vec_id") % 10 == 0
+    got = {}
+    for r in neighbours.nearest(v, is_query, leaf_rows=32, confidence=0.999999).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    of = {}
+    for i, e in rows:
+        if i is not None and e:
+            of.setdefault(i, set()).add(tuple(e))
+    for q in [i for i in of if i % 10 == 0]:
+        x = np.array(min(of[q]))
+        want = sorted((-float((np.array(e) * x).sum() / np.sqrt((np.array(e) ** 2).sum()) / np.sqrt((x * x).sum())), i) for i, all_ in of.items() if i != q for e in all_ if len(e) == len(x))[:5]
+        assert [i for i, _ in got[q]] == [i for _, i in want], q
+        assert np.allclose([s for _, s in got[q]], [-s for s, _ in want], atol=1e-12)
+
+
+def test_neighbours_recall_among_many(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((40, 32))[rng.integers(0, 40, 8000)] + 0.4 * rng.standard_normal((8000, 32))
+    v = spark.createDataFrame([(i, e) for i, e in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(v, F.col("vec_id") % 50 == 0, leaf_rows=512).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 8000, 50):
+        s = u @ u[q]
+        s[q] = -2
+        hits += len(got[q] & set(np.argsort(-s)[:5].tolist()))
+    assert hits >= 0.95 * 5 * 160
 
 
 def test_chat_round_trip_and_events(spark):

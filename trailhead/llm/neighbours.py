@@ -6,18 +6,19 @@ of ``dims`` degrees.  A search takes candidates in the order of the kd-tree's pr
 original vectors in double precision, and stops once the next projected distance is so large that a vector as near as
 the ``k``-th found would lie there with probability under ``1 - confidence``.
 
-The kd-tree has two levels.  Its upper splits come from a bounded sample and cut the data into leaves of about
-``leaf_rows`` vectors, one group each; in a leaf the tree goes on down to buckets.  A query is first answered in its own
+The kd-tree has two levels.  Its upper splits come from a bounded sample of projections and cut the data into leaves of
+about ``leaf_rows`` vectors (more, once there are ``MOST_LEAVES``), one group each; in a leaf the tree goes on down to buckets.  A query is first answered in its own
 leaf; the distance found there bounds the stopping radius, so its second round visits just the leaves whose boxes lie
 within that radius.  Every vector is indexed; nothing caps candidates.  Only leaf boxes (a few numbers a leaf) and the
-sample reach the driver.
+sample (``dims`` numbers a row) reach the driver.
 
 Copies: of equal vectors the ``k + 1`` smallest ids stand for all, which is enough for any answer; the limit is applied
-before the shuffle, so a vector that a third of the rows share stays cheap.
+before the shuffle, so a vector that a third of the rows share stays cheap.  Queries of equal vectors are searched once.
 
-Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, neither do vectors of
-another length than the most frequent; a null id takes no part; fewer than ``k`` candidates give fewer rows; ties go to
-the smaller id; repeated ids count once per distinct vector; empty tables give no rows; other columns are ignored.
+Defined cases: vectors that are null, zero, empty, or hold null or non-finite components take no part; vectors of different
+lengths have no cosine, so each length is searched by itself; a null id takes no part; fewer than ``k`` candidates give
+fewer rows; ties go to the smaller id; a repeated id counts once per distinct vector as a candidate, and its least vector is
+its query; empty tables give no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -29,8 +30,7 @@ from pyspark.sql import functions as F
 
 from trailhead.llm import common
 
-SAMPLE = 16384
-RESULT = "query_id long, vec_id long, score double"
+SAMPLE, MOST_LEAVES = 16384, 1 << 16
 
 
 def chi_square_quantile(p: float, dims: int) -> float:
@@ -171,23 +171,37 @@ def valid(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", dims: int = 8, confidence: float = 0.99, leaf_rows: int = 8192, seed: int = 7) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` nearest other rows.  ``is_query``: a condition on ``vec_id``."""
-    import numpy as np
-
     spark = vectors.sparkSession
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = valid(vectors, id_col, vec_col)
-    lengths = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    if not lengths:
-        return empty
-    width = lengths[0]["n"]
-    rows = rows.where(F.size("embedding") == width)
+    widths = sorted(r["n"] for r in rows.select(F.size("embedding").alias("n")).distinct().collect())
+    queries = rows.where(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("embedding"))
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for width in widths:
+        of_width = F.size("embedding") == width
+        found = of_one_width(rows.where(of_width), queries.where(of_width), width, k, dims, confidence, leaf_rows, seed)
+        out = found if len(widths) == 1 else out.unionByName(found)
+    return out
+
+
+def of_one_width(rows: DataFrame, queries: DataFrame, width: int, k: int, dims: int, confidence: float, leaf_rows: int, seed: int) -> DataFrame:
+    """``nearest`` of queries (query_id, embedding) among rows (vec_id, embedding), all vectors being valid and ``width`` long."""
+    import numpy as np
+
+    spark = rows.sparkSession
     first = Window.partitionBy("embedding").orderBy("vec_id")
-    copies = rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1)
-    distinct, path = common.written(copies.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "vectors")
-    total = distinct.count()
-    sample = distinct.orderBy(F.xxhash64("embedding")).limit(SAMPLE).toArrow()
+    copies = rows.withColumn("nth", F.dense_rank().over(first)).where(F.col("nth") <= k + 1)
+    distinct, _ = common.written(copies.groupBy("embedding").agg(F.sort_array(F.collect_set("vec_id")).alias("ids")), "vectors")
     g = projection(width, dims, seed)
-    root, nodes, _ = splits(unit(matrix(sample["embedding"], width)) @ g, max(1, -(-total // leaf_rows)))
+    leaves = min(MOST_LEAVES, -(-distinct.count() // leaf_rows))
+
+    def project(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array((unit(matrix(b.column("embedding"), width)) @ g).tolist(), pa.list_(pa.float64()))], names=["p"])
+
+    sample = distinct.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(max(SAMPLE, 4 * leaves)).mapInArrow(project, "p array<double>").toArrow()
+    root, nodes, _ = splits(matrix(sample["p"], dims), max(1, leaves))
     tree = spark.sparkContext.broadcast((g, root, nodes))
 
     def place(batches):
@@ -200,8 +214,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", ve
 
     placed = distinct.mapInArrow(place, "leaf long, embedding array<double>, ids array<long>, p array<double>")
     box = placed.groupBy("leaf").agg(*[f(F.col("p")[j]).alias(f"{n}{j}") for n, f in (("lo", F.min), ("hi", F.max)) for j in range(dims)]).collect()
-    boxes = [(r["leaf"], [r[f"lo{j}"] for j in range(dims)], [r[f"hi{j}"] for j in range(dims)]) for r in box]
-    shared_boxes = spark.sparkContext.broadcast(boxes)
+    bounds_of = lambda n: np.array([[r[f"{n}{j}"] for j in range(dims)] for r in box]).reshape(-1, dims)
+    boxes = spark.sparkContext.broadcast((np.array([r["leaf"] for r in box], dtype=np.int64), bounds_of("lo"), bounds_of("hi")))
     radius_factor = chi_square_quantile(confidence, dims)
     data = placed.select("leaf", "embedding", "ids")
 
@@ -216,7 +230,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", ve
             ids = left["ids"].to_pylist()
             index = Tree(unit(e) @ g)
             smallest = np.array([i[0] for i in ids])
-            for query, v, bound in zip(right["query_id"].to_pylist(), matrix(right["embedding"], width), right["bound"].to_pylist(), strict=True):
+            for query, v, bound in zip(right["q"].to_pylist(), matrix(right["embedding"], width), right["bound"].to_pylist(), strict=True):
                 vn = math.sqrt((v * v).sum())
                 best: list = [np.zeros(0, dtype=np.int64), np.zeros(0), bound]
 
@@ -229,23 +243,18 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", ve
                         best[2] = min(bound, max(0.0, 2 - 2 * float(best[1][-1])) + 1e-12)
 
                 index.search((v / vn) @ g, verify, lambda best=best: radius_factor * best[2])
-                for at, s in zip(best[0].tolist(), best[1].tolist(), strict=True):
-                    for i in ids[at]:
-                        if i != query:
-                            for c, x in zip(out, (query, i, s, best[2]), strict=True):
-                                c.append(x)
-                if not len(best[0]) or not any(i != query for at in best[0] for i in ids[at]):
-                    for c, x in zip(out, (query, None, None, best[2]), strict=True):
+                found = [(i, s) for at, s in zip(best[0].tolist(), best[1].tolist(), strict=True) for i in ids[at]]
+                for i, s in found or [(None, None)]:
+                    for c, x in zip(out, (query, i, s, best[2]), strict=True):
                         c.append(x)
-        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.float64())], names=["query_id", "vec_id", "score", "bound"])
+        return pa.table([pa.array(c, t) for c, t in zip(out, (pa.string(), pa.int64(), pa.float64(), pa.float64()), strict=True)], names=["q", "vec_id", "score", "bound"])
 
     def visit(only_home: bool):
         def run(batches):
             import pyarrow as pa
 
             g, root, nodes = tree.value
-            boxes = shared_boxes.value
-            at, low, high = np.array([b[0] for b in boxes]), np.array([b[1] for b in boxes]), np.array([b[2] for b in boxes])
+            at, low, high = boxes.value
             for b in batches:
                 p = unit(matrix(b.column("embedding"), width)) @ g
                 home = leaf_of(p, root, nodes)
@@ -253,22 +262,30 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", ve
                     yield pa.RecordBatch.from_arrays([pa.array(home), *b.columns], names=["leaf", *b.schema.names])
                     continue
                 reach = radius_factor * b.column("bound").to_numpy()
+                go, who = [], []
                 for j in range(len(p)):
                     d = np.maximum(0.0, np.maximum(low - p[j], p[j] - high))
-                    go = at[((d * d).sum(axis=1) <= reach[j]) & (at != home[j])]
-                    if len(go):
-                        yield pa.RecordBatch.from_arrays([pa.array(go), *[c.take(pa.array(np.full(len(go), j))) for c in b.columns]], names=["leaf", *b.schema.names])
+                    go.append(at[((d * d).sum(axis=1) <= reach[j]) & (at != home[j])])
+                    who.append(np.full(len(go[-1]), j))
+                    if sum(map(len, who[-64:])) > 4096 or j == len(p) - 1 or len(who) == 64:
+                        rows = pa.array(np.concatenate(who))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(go)), *[c.take(rows) for c in b.columns]], names=["leaf", *b.schema.names])
+                        go, who = [], []
 
         return run
 
-    schema = "query_id long, vec_id long, score double, bound double"
-    queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "embedding").dropDuplicates(["query_id"])
-    start = queries.withColumn("bound", F.lit(4.0)).mapInArrow(visit(True), "leaf long, query_id long, embedding array<double>, bound double")
-    home, home_path = common.written(data.groupBy("leaf").cogroup(start.groupBy("leaf")).applyInArrow(answer, schema), "home")
-    bounds = home.groupBy("query_id").agg(F.min("bound").alias("bound"))
-    again = queries.join(bounds, "query_id", "left").select("query_id", "embedding", F.coalesce("bound", F.lit(4.0)).alias("bound"))
-    more = again.mapInArrow(visit(False), "leaf long, query_id long, embedding array<double>, bound double")
-    rest = data.groupBy("leaf").cogroup(more.groupBy("leaf")).applyInArrow(answer, schema)
-    found = home.unionByName(rest).where("vec_id is not null").select("query_id", "vec_id", "score")
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
+    schema, to_leaf = "q string, vec_id long, score double, bound double", "leaf long, q string, embedding array<double>, bound double"
+    # Queries of equal vectors, known by 128 bits of hash, are one search.
+    name = F.concat(F.hex(F.xxhash64("embedding")), F.lit("-"), F.hex(F.xxhash64(F.lit(1), F.col("embedding"))))
+    named = queries.select("query_id", name.alias("q"), "embedding")
+    searches = named.select("q", "embedding").dropDuplicates(["q"])
+    start = searches.withColumn("bound", F.lit(4.0)).mapInArrow(visit(True), to_leaf)
+    home, _ = common.written(data.groupBy("leaf").cogroup(start.groupBy("leaf")).applyInArrow(answer, schema), "home")
+    bounds = home.groupBy("q").agg(F.min("bound").alias("bound"))
+    again = searches.join(bounds, "q", "left").select("q", "embedding", F.coalesce("bound", F.lit(4.0)).alias("bound"))
+    rest = data.groupBy("leaf").cogroup(again.mapInArrow(visit(False), to_leaf).groupBy("leaf")).applyInArrow(answer, schema)
+    found = home.unionByName(rest).where("vec_id is not null").select("q", "vec_id", "score")
+    best = found.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).where(F.col("n") <= 2 * k + 1)
+    pairs = named.select("query_id", "q").join(best, "q").where("vec_id <> query_id")
+    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
