@@ -18,7 +18,7 @@ def rows(frame) -> list[tuple]:
     names = sorted(frame.columns)
 
     def plain(x):
-        if x is None or x != x or str(x) in ("<NA>", "NaT"):
+        if x is None or str(x) in ("<NA>", "NaT") or x != x:
             return "null"
         return f"{float(x):.6g}" if isinstance(x, (int, float)) or hasattr(x, "dtype") else str(x)
 

@@ -17,15 +17,22 @@ def test_strong_part(spark):
 
 
 def test_routes_match_relaxation(spark):
+    from trailhead.operators import roads
     from trailhead.plans.fixtures import fixture
 
-    edges = fixture(spark, SF, "edges").collect()
+    rows = fixture(spark, SF, "edges").withColumnRenamed("len_dm", "metres")
+    edges = rows.collect()
     best = {0: 0}
     for _ in range(200):
         for e in edges:
             if e["src"] in best:
-                best[e["dst"]] = min(best.get(e["dst"], 1 << 60), best[e["src"]] + e["len_dm"])
-    found = {r["query"]: r["dm"] for r in QUERIES["shortest_path_length"](spark, SF).collect()}
-    assert {k: v for k, v in found.items() if v is not None} == best
-    longer = {r["query"]: r["dm"] for r in QUERIES["avoid_road_length"](spark, SF).collect()}
-    assert all(longer[k] is None or longer[k] >= v for k, v in found.items() if v is not None)
+                best[e["dst"]] = min(best.get(e["dst"], 1 << 60), best[e["src"]] + e["metres"])
+    asked = spark.range(150).selectExpr("id as query", "0L as src", "id as dst", "cast(null as array<bigint>) as banned", "cast(null as string) as banned_road")
+    asked = asked.unionByName(asked.selectExpr("query + 1000 as query", "src", "dst", "array(0L) as banned", "banned_road")).unionByName(asked.selectExpr("query + 2000 as query", "999L as src", "dst", "banned", "banned_road"))
+    found = {r["query"]: r for r in roads.shortest(asked, rows).collect()}
+    assert len(found) == 450 and all(found[q]["path"] is None and found[q]["metres"] is None for q in range(1000, 2150) if q in found)
+    length = {(e["src"], e["dst"]): e["metres"] for e in edges}
+    for q in range(150):
+        path = found[q]["path"]
+        assert found[q]["metres"] == best.get(q)
+        assert path is None or (path[0], path[-1]) == (0, q) and sum(length[x] for x in zip(path, path[1:], strict=False)) == best[q]

@@ -75,6 +75,7 @@ def md5_mod(s: Column, m: int) -> Column:
 
 
 def near_word(m: Column) -> Column:
+    """Bounds and wording."""
     return F.when(m < 60, "right beside it").when(m < 250, "a short walk away").otherwise("a bit further on")
 
 

@@ -36,7 +36,9 @@ def classify(labels: Column) -> Column:
 
 
 def tag_category(tags: Column) -> Column:
-    """struct(cat, imp) of a map of tags; rules in order, the first that holds counts."""
+    """struct(cat, imp) of a map of tags; rules in order, the first that holds counts.
+
+    Fixed values: keys, values, categories and importances, and their order."""
     t = lambda k: tags[k]
     v = lambda cat, imp: F.struct(F.lit(cat).alias("cat") if isinstance(cat, str) else cat.alias("cat"), F.lit(imp).alias("imp"))
     a = t("amenity")

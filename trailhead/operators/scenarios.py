@@ -269,6 +269,31 @@ def build(spark, world: World, areas: DataFrame, n: int, tasks: list[str] | None
     return numbered(split(distinct(whole)), world.city)
 
 
+def enough(spark, world: World, areas: DataFrame, n: int, tasks: list[str] | None = None, most: int = 60) -> DataFrame:
+    """``n`` scenarios, or as many as ``most * n`` draws give: draws are made anew, in growing numbers, until there are enough;
+    then the first ``n`` are numbered without gaps.  A draw's outcome depends on its number alone, so more draws only add."""
+    drawn = n
+    while True:
+        found = settled(build(spark, world, areas, drawn, tasks))
+        got = found.count()
+        if got >= n or drawn >= most * n:
+            break
+        drawn = min(most * n, max(2 * drawn, int(1.2 * drawn * n / max(got, 1))))
+    # ids hold the draw's number, so their order is the draws' order
+    first = found.withColumn("_at", F.regexp_extract("id", r"(\d+)$", 1).cast("long")).orderBy("_at").limit(n)
+    place = F.row_number().over(Window.partitionBy("city").orderBy("_at")) - 1
+    return first.withColumn("id", F.format_string("%s_%05d", F.lit(world.city), place)).drop("_at")
+
+
+def of_cities(spark, worlds: dict[str, tuple[World, DataFrame]], n: int, tasks: list[str] | None = None) -> DataFrame:
+    """Scenarios of several cities, ``n`` of each; ``city`` is a column of the result."""
+    out = None
+    for world, areas in worlds.values():
+        rows = enough(spark, world, areas, n, tasks)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def distinct(rows: DataFrame) -> DataFrame:
     """The first scenario of each task, ordered pair, avoided name, landmark asked about, and latitude if the start has no name."""
     key = F.struct("task", "pair", "avoid.name", "question_landmark", F.when(F.col("start.name").isNull(), F.col("start.lat")).alias("lat"))

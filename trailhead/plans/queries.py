@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trailhead.functions import scalar as S
 from trailhead.operators import landmarks, roads, spatial
-from trailhead.plans.fixtures import duck, fixture
+from trailhead.plans.fixtures import SQL, duck, fixture
 from trailhead.sources.tables import table
 from trailhead.streaming import incremental
 
@@ -83,12 +83,34 @@ def parallel_edge_collapse(spark, d):
     return roads.collapse_parallel(rows, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"], "l_quantity").withColumnRenamed("l_quantity", "quantity")
 
 
-WAYS = f"(select r as way, c as pos, node, lat, lon from {V} union all select 100000 + c, r, node, lat, lon from {V})"
+# Ways over the grid: every third row and fifth column, so that most nodes are no junctions; a roundabout at a row; a loop that meets no
+# other way; two thirds of a block as a footpath, and a way one of whose nodes is not there.
+LOOP = "(select * from (values (0, 0, 0), (1, 0, 1), (2, 1, 1), (3, 1, 0), (4, 0, 0)) as p(pos, dr, dc))"
+WAY_NODES = f"""(select r as way, c as pos, node, 'road' as what, r as k from {{v}} where r % 3 = 0 and c <= 39
+  union all select 100000 + c, r, node, 'road', c from {{v}} where c % 5 = 0
+  union all select 200000 + a.r, p.pos, (a.r + p.dr) * 40 + 1 + p.dc, 'round', a.r from {{v}} a, {LOOP} p where a.c = 0 and a.r % 6 = 0 and (a.r + 2) * 40 < (select count(*) from customer)
+  union all select 300000 + a.r, p.pos, (a.r + 1 + p.dr) * 40 + 1 + p.dc, 'road', a.r from {{v}} a, {LOOP} p where a.c = 0 and a.r % 3 = 0 and (a.r + 3) * 40 < (select count(*) from customer)
+  union all select 400000 + a.r, p.pos, (a.r + p.dr) * 40 + 6 + p.dc, 'house', a.r from {{v}} a, {LOOP} p where a.c = 0 and a.r % 3 = 1 and (a.r + 2) * 40 < (select count(*) from customer)
+  union all select 500000 + a.r, p.pos, case when p.pos = 2 then 900000000 + a.r else (a.r + p.dr) * 40 + 8 + p.dc end, 'road', a.r from {{v}} a, {LOOP} p where a.c = 0 and a.r % 6 = 0 and (a.r + 2) * 40 < (select count(*) from customer))"""
+
+
+def way_nodes(engine: str) -> str:
+    """SQL of the ways' nodes, for "div" (Spark) or "//" (DuckDB) as the whole-number division."""
+    return WAY_NODES.replace("{v}", "(" + SQL["vertices"].format(div=engine) + ")")
+
+
+#: Nodes of whole ways that are roads, with their places.
+WAYS = f"(select w.way, w.pos, w.node, w.what, w.k, v.lat, v.lon from {way_nodes('//')} w join {V} v using (node) where w.way not between 400000 and 599999)"
+PIECES = f"""(select way, piece, first(node order by pos) as src, last(dst order by pos) as dst, sum(m) as metres, any_value(what) as what, any_value(k) as k from (
+  select *, sum(case when refs >= 2 or pos = least_pos then 1 else 0 end) over (partition by way order by pos) as piece, 12742000.0*asin(sqrt(pow(sin(radians(lat2-lat)/2),2)+cos(radians(lat))*cos(radians(lat2))*pow(sin(radians(lon2-lon)/2),2))) as m from (
+    select w.*, refs, min(pos) over (partition by way) as least_pos, lead(w.node) over o as dst, lead(lat) over o as lat2, lead(lon) over o as lon2 from {WAYS} w
+    join (select node, sum(case when pos = a or pos = b then 2 else 1 end) as refs from (select *, min(pos) over (partition by way) as a, max(pos) over (partition by way) as b from {WAYS}) group by node) n on n.node = w.node window o as (partition by way order by pos)))
+  where dst is not null group by way, piece having first(node order by pos) <> last(dst order by pos))"""
 
 
 def _ways(spark, d):
     v = fixture(spark, d, "vertices")
-    return v.select(F.col("r").alias("way"), F.col("c").alias("pos"), "node", "lat", "lon").unionByName(v.select((F.col("c") + 100000).alias("way"), F.col("r").alias("pos"), "node", "lat", "lon"))
+    return spark.sql(f"select * from {way_nodes('div')} where way not between 400000 and 599999").join(v.select("node", "lat", "lon"), "node")
 
 
 @query(f"select node, sum(case when pos=a or pos=b then 2 else 1 end)::bigint as refs from (select *, min(pos) over (partition by way) as a, max(pos) over (partition by way) as b from {WAYS}) group by node")
@@ -96,8 +118,7 @@ def junction_counts(spark, d):
     return roads.junctions(_ways(spark, d))
 
 
-@query(f"""select way, src, dst, round_even(12742000.0*asin(sqrt(pow(sin(radians(lat2-lat)/2),2)+cos(radians(lat))*cos(radians(lat2))*pow(sin(radians(lon2-lon)/2),2))),1) as metres from (
-  select way, node as src, lead(node) over w as dst, lat, lon, lead(lat) over w as lat2, lead(lon) over w as lon2 from {WAYS} window w as (partition by way order by pos)) where dst is not null""")
+@query(f"select way, src, dst, round_even(metres, 1) as metres from {PIECES}")
 def way_split_edges(spark, d):
     return roads.edges_of_ways(_ways(spark, d)).select("way", "src", "dst", F.bround("metres", 1).alias("metres"))
 
@@ -108,27 +129,52 @@ def road_lengths(spark, d):
 
 
 def _routes(spark, d, banned, road):
+    """From eight nodes, spread over the grid, to every node."""
     e = fixture(spark, d, "edges").withColumnRenamed("len_dm", "metres")
-    q = fixture(spark, d, "vertices")
-    q = q.select(F.col("node").alias("query"), F.lit(0).cast("long").alias("src"), F.col("node").alias("dst"), F.lit(banned).cast("array<bigint>").alias("banned"), F.lit(road).cast("string").alias("banned_road"))
-    return roads.shortest(q, e).select("query", F.col("metres").cast("long").alias("dm"), F.size("path").alias("nodes"))
+    v = fixture(spark, d, "vertices").select("node")
+    step = v.count() // 8 + 1
+    ends = v.where(F.col("node") % step == 0).select(F.collect_list("node").alias("s"))
+    q = v.join(F.broadcast(ends), F.lit(True)).select(F.col("node").alias("dst"), F.explode("s").alias("src"))
+    q = q.select((F.col("src") * 10000000 + F.col("dst")).alias("query"), "src", "dst", F.lit(banned).cast("array<bigint>").alias("banned"), F.lit(road).cast("string").alias("banned_road"))
+    return roads.shortest(q, e).select("query", F.coalesce(F.col("metres").cast("long"), F.lit(-1)).alias("dm"))  # -1: no way there
+
+
+def _duck_routes(banned: str = "-1", road: str = "") -> str:
+    start = f"(select node from {V} where node % ((select count(*) from customer) // 8 + 1) = 0)"
+    return f"""with recursive e as (select src, dst, len_dm from {E} where dst not in ({banned}) and name is distinct from '{road or "-"}'),
+      d(src, node, dm) using key (src, node) as (select node, node, 0::bigint from {start} where node not in ({banned})
+        union select d.src, e.dst, min(d.dm + e.len_dm)::bigint from d join e on e.src = d.node left join recurring.d r on r.src = d.src and r.node = e.dst where r.dm is null or d.dm + e.len_dm < r.dm group by d.src, e.dst)
+      select s.node * 10000000 + v.node as query, coalesce(d.dm, -1) as dm from {start} s, {V} v left join d on d.src = s.node and d.node = v.node"""
 
 
-@query()
+@query(_duck_routes())
 def shortest_path_length(spark, d):
     return _routes(spark, d, None, None)
 
 
-@query()
+@query(_duck_routes("41, 42, 81"))
 def avoid_nodes_length(spark, d):
     return _routes(spark, d, [41, 42, 81], None)
 
 
-@query()
+@query(_duck_routes(road="Row Road 0"))
 def avoid_road_length(spark, d):
     return _routes(spark, d, None, "Row Road 0")
 
 
+@query(f"""select a.node as query, count(e.src) as hops, case when count(e.src) = 5 then sum(e.len_dm)::bigint else -1 end as dm from {V} a left join (select * from {E} where dst = src + 1) e on e.src between a.node and a.node + 4
+  where a.c <= 34 and a.node + 5 < (select count(*) from customer) group by a.node""")
+def path_length(spark, d):
+    v = fixture(spark, d, "vertices")
+    n = v.count()
+    paths = v.where((F.col("c") <= 34) & (F.col("node") + 5 < n)).select(F.col("node").alias("query"), F.sequence("node", F.col("node") + 5).alias("path"))
+    edges = fixture(spark, d, "edges").withColumnRenamed("len_dm", "metres")
+    found = roads.path_lengths(paths, edges)
+    # hops that have an edge, as the SQL counts them
+    real = paths.select("query", F.explode(F.slice("path", 1, 5)).alias("src")).join(edges.where("dst = src + 1").select("src"), "src").groupBy("query").agg(F.count("*").alias("hops"))
+    return found.drop("hops").join(real, "query", "left").select("query", F.coalesce("hops", F.lit(0)).alias("hops"), F.coalesce(F.col("metres").cast("long"), F.lit(-1)).alias("dm"))
+
+
 @query(f"select distinct node from {V} where node % 97 <> 96")
 def largest_scc(spark, d):
     return roads.largest_strong_part(fixture(spark, d, "edges").select("src", "dst"))
@@ -237,9 +283,19 @@ def style_sample(spark, d):
     return table(spark, d, "orders").select("o_orderkey", F.explode(F.slice(F.array_sort(keyed), 1, 5)).alias("x")).select("o_orderkey", F.col("x.s").alias("style"))
 
 
-@query("select p_partkey, case when p_name like '%a%' then 1 else 0 end as has_a, " + " ".join(["case"] + [f"when contains(lower(p_type), '{w.lower()}') then '{c}'" for w, c, _ in landmarks.LABELS] + ["end as cat"]) + " from part")
+# Labels of places, and the category that each must have, worked out by hand.
+LABELLED = [
+    ("Dining and Drinking > Bar", "eatery"), ("Travel > Bus Stops", "bus stop"), ("Retail > Flea MARKET", "market"), ("Business > Office", None), ("Outdoors > Car Park", "park"), ("Retail > Supermarket", "market"),
+    ("Café, Coffee, and Tea House", "eatery"), ("Lodging > Hotel Bar", "hotel"), ("Travel > Bus Station", "lorry park"), ("Education > College", "school"), ("Health > Eye Clinic", "clinic"), ("Fuel Station", "filling station"),
+    ("Bank > ATM", "bank"), ("Community > Police Station", "police station"), ("Shopping Mall", "mall"), ("Spiritual Center > Mosque", "mosque"), ("Fast Food Restaurant", "eatery"), ("", None),
+]
+
+
+@query("select p_partkey, coalesce(a.cat, b.cat) as cat from part join (values " + ", ".join(f"({i}, {'null' if c is None else repr(c)})" for i, (_, c) in enumerate(LABELLED)) + f") a(i, cat) on a.i = p_partkey % {len(LABELLED)} join (values " + ", ".join(f"({i}, {'null' if c is None else repr(c)})" for i, (_, c) in enumerate(LABELLED)) + f") b(i, cat) on b.i = p_partkey // 7 % {len(LABELLED)}")
 def classify_labels(spark, d):
-    return table(spark, d, "part").select("p_partkey", F.when(F.col("p_name").contains("a"), 1).otherwise(0).alias("has_a"), landmarks.classify(F.array("p_type"))["cat"].alias("cat"))
+    said = F.array(*[F.lit(x) for x, _ in LABELLED])
+    labels = F.array(F.get(said, (F.col("p_partkey") % len(LABELLED)).cast("int")), F.get(said, (F.floor(F.col("p_partkey") / 7) % len(LABELLED)).cast("int")))
+    return table(spark, d, "part").select("p_partkey", landmarks.classify(labels)["cat"].alias("cat"))
 
 
 @query("select id, case when d < 60 then 'right beside it' when d < 250 then 'a short walk away' else 'a bit further on' end as wording from (select s_suppkey as id, (s_suppkey * 37) % 500 as d from supplier)")

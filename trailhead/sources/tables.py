@@ -1,4 +1,4 @@
-"""Sources: test tables, places, JSON lines, map extracts in XML."""
+"""Sources: test tables, map extracts in XML."""
 
 from __future__ import annotations
 
@@ -10,11 +10,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def present(df: DataFrame, wanted: list[str]) -> DataFrame:
-    """The wanted columns that exist."""
-    return df.select([c for c in wanted if c in df.columns])
-
-
 NODE = "_id long, _lat double, _lon double, tag array<struct<_k:string,_v:string>>"
 WAY = "_id long, nd array<struct<_ref:long>>, tag array<struct<_k:string,_v:string>>"
 
@@ -25,13 +20,10 @@ def map_nodes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def map_ways(spark: SparkSession, path: str, nodes: DataFrame) -> DataFrame:
-    """way, pos, node, lat, lon, tags; a way with a node that is not there is left out."""
+    """way, pos, node, lat, lon, tags; a way with a node that is not there, or has no place, is left out."""
     rows = spark.read.format("xml").option("rowTag", "way").schema(WAY).load(path)
     flat = rows.select(F.col("_id").alias("way"), F.map_from_entries(F.coalesce("tag", F.array())).alias("tags"), F.posexplode("nd").alias("pos", "nd")).select("way", "tags", "pos", F.col("nd._ref").alias("node"))
     joined = flat.join(nodes.select("node", "lat", "lon"), "node", "left")
     whole = joined.groupBy("way").agg(F.count("*").alias("n"), F.count("lat").alias("m")).where("n = m").select("way")
     return joined.join(whole, "way", "left_semi")
 
-
-def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).json(path)
