@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from trailhead.plans import guidance  # noqa: F401  # registers its queries
+from trailhead.plans import files, guidance, making  # noqa: F401  # they register their queries
 from trailhead.plans.queries import QUERIES
 
 

@@ -1,7 +1,7 @@
 import compare
 import pytest
 
-from trailhead.plans import guidance  # noqa: F401  # registers its queries
+from trailhead.plans import files, guidance, making  # noqa: F401  # they register their queries
 from trailhead.plans.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"

@@ -175,11 +175,6 @@ def path_length(spark, d):
     return found.drop("hops").join(real, "query", "left").select("query", F.coalesce("hops", F.lit(0)).alias("hops"), F.coalesce(F.col("metres").cast("long"), F.lit(-1)).alias("dm"))
 
 
-@query(f"select distinct node from {V} where node % 97 <> 96")
-def largest_scc(spark, d):
-    return roads.largest_strong_part(fixture(spark, d, "edges").select("src", "dst"))
-
-
 @query("""select user_id, run, min(event_type) as event_type, count(*) as n, round_even(sum(value),2) as total from (select *, sum(c) over (partition by user_id order by ts, event_id) as run from (
   select *, case when event_type = lag(event_type) over (partition by user_id order by ts, event_id) then 0 else 1 end as c from events)) group by user_id, run""")
 def road_runs(spark, d):
