@@ -56,6 +56,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def input_bytes(df: DataFrame) -> int:
     """What Spark expects ``df`` to hold, from the sizes of its files; nothing is read for it."""
     n = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -6,8 +6,8 @@ document's language proportions by expectation-maximisation over its windows.  T
 proportions, give nested sets; the set with the highest likelihood less half a log of the windows for each language
 is kept.  ``lang_pred`` is its largest language, ``lang_score`` that language's proportion.
 
-The model holds ``2 ** bits`` counts a language; that bound is what reaches the driver and is broadcast.  Whole texts
-count, an Arrow batch at a time.
+The model holds ``2 ** bits`` counts a language; that, times the languages that ``lang`` names, is what reaches the driver and
+is broadcast.  Whole texts count, slices of bounded bytes (or one text) at a time.
 
 Defined cases: null text or text without a letter is ``und`` with score 0; rows with null language or text teach
 nothing; with no language learned all rows are ``und``; ties go to the language first in alphabetical order; repeated
@@ -131,11 +131,11 @@ def mixtures(likelihood, starts, steps: int = 20):
     return chosen, kept
 
 
-def predict(docs: DataFrame, model: Model, window: int = 48, bits: int = BITS) -> DataFrame:
-    """``docs`` (with text) and lang_pred, lang_score, lang_set (kept languages, largest first)."""
+def predict(docs: DataFrame, model: Model, window: int = 48, bits: int = BITS, into: list[str] = RESULTS) -> DataFrame:
+    """``docs`` (with text) and, named by ``into``, the largest language, its proportion and the kept languages, largest first."""
     import numpy as np
 
-    docs = docs.drop(*RESULTS)
+    docs = docs.drop(*into)
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.table() if model.languages else None))
 
     def run(rows):
@@ -159,7 +159,7 @@ def predict(docs: DataFrame, model: Model, window: int = 48, bits: int = BITS) -
                 for j, row in enumerate(part.tolist()):
                     pred[row], score[row] = languages[order[j, 0]], min(1.0, p[j, order[j, 0]])
                     sets[row] = [languages[k] for k in order[j] if p[j, k] > 0]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred), pa.array(score, pa.float64()), pa.array(sets, pa.list_(pa.string()))], names=[*batch.schema.names, *RESULTS])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred), pa.array(score, pa.float64()), pa.array(sets, pa.list_(pa.string()))], names=[*batch.schema.names, *into])
 
-    new = [StructField("lang_pred", StringType()), StructField("lang_score", DoubleType()), StructField("lang_set", ArrayType(StringType()))]
+    new = [StructField(n, t) for n, t in zip(into, (StringType(), DoubleType(), ArrayType(StringType())), strict=True)]
     return docs.mapInArrow(common.frugal("language", run), StructType([*docs.schema.fields, *new]))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from trailhead.llm import common, tokens
 
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, sequence_cost double"
 
 
 def powers(n: int) -> list[int]:
@@ -64,7 +64,7 @@ def plan(lengths: list[int], capacity: int = 2048, longest: int = 1024, linear:
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048, block_tokens: int = 1 << 20, longest: int = 1024, linear: float = 1.0, quadratic: float = 1 / 1024) -> DataFrame:
-    """One row per piece: where it lies in its document and in its sequence, and the crc32 of its ids."""
+    """One row per piece: where it lies in its document and in its sequence, the crc32 of its ids, its sequence's tokens and cost."""
 
     def run(rows):
         import zlib
@@ -79,12 +79,17 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048,
             nonlocal used
             n = [len(x) // 4 for x in made]
             order = sorted(range(len(n)), key=lambda k: (-n[k], ids[k] is None, ids[k] or 0, made[k]))
-            out = []
-            for j, at, length, s, offset in plan([n[k] for k in order], capacity, min(longest, capacity), linear, quadratic):
+            out, total, cost = [], {}, {}
+            pieces = plan([n[k] for k in order], capacity, min(longest, capacity), linear, quadratic)
+            for _, _, length, s, _ in pieces:
+                total[s] = total.get(s, 0) + length
+                cost[s] = cost.get(s, 0.0) + linear * length + quadratic * length * length
+            for j, at, length, s, offset in pieces:
                 k = order[j]
-                out.append((ids[k], at, length, zlib.crc32(memoryview(made[k])[4 * at : 4 * (at + length)]), n[k], base + used + s, offset))
-            used = max((r[5] for r in out), default=base + used - 1) - base + 1
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=[c.split()[0] for c in SCHEMA.split(", ")])
+                out.append((ids[k], at, length, zlib.crc32(memoryview(made[k])[4 * at : 4 * (at + length)]), n[k], base + used + s, offset, total[s], cost[s]))
+            used += len(total)
+            kinds = [pa.float64() if "double" in c else pa.int64() for c in SCHEMA.split(", ")]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[c.split()[0] for c in SCHEMA.split(", ")])
 
         ids, made, size = [], [], 0
         for batch in rows:

@@ -11,8 +11,8 @@ other, and if no piece holds a line feed, lines part as well; then words are sea
 ``memo_words``).  Decoding concatenates the pieces' bytes.
 
 Defined cases: null text counts as empty and has no ids; the text's own space marks (U+2581) decode as spaces, as in the
-library; whole texts, very long ones too, are searched; other columns are kept, own columns named like the results
-are replaced.
+library; whole texts, very long ones too, are searched; repeated rows are encoded each; an empty table gives no rows; other
+columns are kept, own columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -137,9 +137,8 @@ def loaded(path: str) -> Pieces:
     return held[path]
 
 
-def encode(docs: DataFrame, model: str) -> DataFrame:
-    """``docs`` (with text) and ``ids`` array<int>."""
-    docs = docs.drop("ids")
+def encoded_batches(model: str):
+    """A function of Arrow batches that adds ``ids`` to rows with text."""
 
     def run(rows):
         import numpy as np
@@ -147,19 +146,17 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
         p = loaded(model)
         for whole in rows:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
+            for batch in common.slices(whole, most_bytes=1 << 19):
                 made = [p.encode(t or "") for t in batch.column("text").to_pylist()]
                 cuts = np.concatenate([[0], np.cumsum([len(m) // 4 for m in made])])
                 flat = pa.Array.from_buffers(pa.int32(), int(cuts[-1]), [None, pa.py_buffer(b"".join(made))])
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat)], names=[*batch.schema.names, "ids"])
 
-    return docs.mapInArrow(common.frugal("pieces", run), StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
+    return run
 
 
-def decode(encoded: DataFrame, model: str, into: str = "decoded") -> DataFrame:
-    """``encoded`` (with ids) and the text of the ids; null ids give null."""
-    encoded = encoded.drop(into)
+def decoded_batches(model: str, into: str):
+    """A function of Arrow batches that adds the text of their ``ids``."""
 
     def run(rows):
         import pyarrow as pa
@@ -171,12 +168,34 @@ def decode(encoded: DataFrame, model: str, into: str = "decoded") -> DataFrame:
                 texts = [p.decode(x.values.to_numpy()).decode("utf-8", "replace") if x.is_valid else None for x in batch.column("ids")]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
 
-    return encoded.mapInArrow(common.frugal("pieces", run), StructType([*encoded.schema.fields, StructField(into, StringType())]))
+    return run
+
+
+IDS = StructField("ids", ArrayType(IntegerType()))
+
+
+def encode(docs: DataFrame, model: str) -> DataFrame:
+    """``docs`` (with text) and ``ids`` array<int>."""
+    docs = docs.drop("ids")
+    return docs.mapInArrow(common.frugal("pieces", encoded_batches(model)), StructType([*docs.schema.fields, IDS]))
+
+
+def decode(encoded: DataFrame, model: str, into: str = "decoded") -> DataFrame:
+    """``encoded`` (with ids) and the text of the ids; null ids give null."""
+    encoded = encoded.drop(into)
+    return encoded.mapInArrow(common.frugal("pieces", decoded_batches(model, into)), StructType([*encoded.schema.fields, StructField(into, StringType())]))
+
+
+def encode_and_decode(docs: DataFrame, model: str, into: str = "decoded") -> DataFrame:
+    """``docs``, ``ids`` and the text of the ids: both ways in one Python worker."""
+    docs = docs.drop("ids", into)
+    there, back = encoded_batches(model), decoded_batches(model, into)
+    return docs.mapInArrow(common.frugal("pieces", lambda rows: back(there(rows))), StructType([*docs.schema.fields, IDS, StructField(into, StringType())]))
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_pieces, ids, decoded_sha256 and same (the decoded text equals the text with space marks as spaces)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    back = decode(encode(rows, model), model)
+    back = encode_and_decode(rows, model)
     plain = F.replace(F.col("text"), F.lit(MARK), F.lit(" "))
     return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), (F.col("decoded") == plain).alias("same"))

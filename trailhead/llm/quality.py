@@ -128,10 +128,10 @@ def _measure(good: bytes, bad: bytes, block: int):
     return run
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` (doc_id, text) with ``quality_score``; further columns stay.  An own column of that name is replaced."""
+def score(docs: DataFrame, model: Model, into: str = "quality_score") -> DataFrame:
+    """``docs`` (doc_id, text) with a column ``into``; further columns stay.  An own column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.drop("quality_score").schema
+    docs = docs.drop(into)
 
     def run(rows):
         import numpy as np
@@ -145,11 +145,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 s[[k for k, t in enumerate(texts) if not t]] = m.empty
             else:
                 s = np.full(len(texts), m.empty)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())], names=[*batch.schema.names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())], names=[*batch.schema.names, into])
 
     from pyspark.sql.types import DoubleType, StructField, StructType
 
-    return docs.drop("quality_score").mapInArrow(common.frugal("quality", run), StructType([*schema.fields, StructField("quality_score", DoubleType())]))
+    return docs.mapInArrow(common.frugal("quality", run), StructType([*docs.schema.fields, StructField(into, DoubleType())]))
 
 
 def train_rows(docs: DataFrame, folds: int = 5) -> DataFrame:

@@ -75,7 +75,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(common.fold_bucket(F.col("doc_id"), 4) != 2))
     found = langid.predict(docs.select("doc_id", "text"), model)
-    return found.select("doc_id", (common.fold_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+    return found.select("doc_id", (common.fold_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "lang_set")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
