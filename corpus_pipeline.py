@@ -1,8 +1,10 @@
 """A corpus pipeline of four operators: quality, language, near duplicates, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the next stage reads what it kept.  All but the last return
-the columns of ``documents``, unchanged.  Null and empty texts are judged like any other text: the classifier gives them its
-score for empty text, and the language stage rejects a text without letters.
+the columns of ``documents``, unchanged, and further columns too, whatever their names.  Null and empty texts are judged like
+any other text: the classifier gives them its score for empty text, and the language stage rejects a text without letters.
+Repeated rows are judged each; of rows alike the near-duplicate stage keeps one.  Very long texts count whole.  An empty table
+gives no rows at any stage.
 """
 
 from __future__ import annotations
@@ -20,14 +22,15 @@ NEAR_WIDTH, NEAR_PERCENT = 5, 80
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose score is KEEP_QUALITY or more; learns from labelled rows outside fold 0 of 5."""
     model = quality.fit(quality.train_rows(docs, 5), common.table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where(F.col("quality_score") >= KEEP_QUALITY).select(docs.columns)
+    (own,) = common.free_names(docs, "quality_score")
+    return quality.score(docs, model, own).where(F.col(own) >= KEEP_QUALITY).drop(own)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a language that holds KEEP_LANGUAGE of the text; learns from rows outside fold 2 of 4."""
     model = langid.fit(docs.where(common.fold_bucket(F.col("doc_id"), 4) != 2))
-    found = langid.predict(docs, model)
-    return found.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= KEEP_LANGUAGE)).select(docs.columns)
+    own = common.free_names(docs, *langid.RESULTS)
+    return langid.predict(docs, model, into=own).where((F.col(own[0]) != "und") & (F.col(own[1]) >= KEEP_LANGUAGE)).drop(*own)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = common.written(stage(spark, docs, sf_dir), name)
+        docs, path = common.written(stage(spark, docs, sf_dir), name)
+        if before:
+            common.remove(spark, before)  # only the last table is read from here on
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
