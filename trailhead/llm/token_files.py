@@ -1,6 +1,6 @@
 """Token-ID output: Parquet list columns, selective reads.
 
-``write_tokens`` lays out one row per document in ascending ``doc_id`` order (null ids first, ties by the text's hash):
+``write_tokens`` lays out one row per document in ascending ``doc_id`` order (null ids first, ties by where they are read, then by text):
 
 * ``shard``, ``row``: number of the file's range and the row in it; ``start``: ids before the row in its shard,
 * ``n_tokens``: ids of the document with its end id; ``ids``: ``list<int>``.
@@ -28,8 +28,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, en
 
     Only the texts are shuffled, once, and before they are encoded, so that the sampling of the ranges encodes nothing.
     There are as many ranges as keep a shard near ``shard_mb`` of the input's files (or ``spark.sql.shuffle.partitions``, if
-    more).  Rows of one id are ranged by the text's hash, and equal rows by where they are read, so that no id is too large
-    for a task.  A task holds one Arrow batch of texts and ids.
+    more).  Rows of one id are ranged by the input partition they are read from, so that no id is too large for a task; the
+    sampling of the ranges reads ids only.  A task holds one Arrow batch of texts and ids.
     """
 
     def encode(rows):
@@ -52,10 +52,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, en
                 )
                 row, start = row + len(n), start + int(ends[-1])
 
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"), F.spark_partition_id().alias("at"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.spark_partition_id().alias("at"))
     shards = shards or max(common.partitions(docs.sparkSession), common.input_bytes(docs) // (shard_mb << 20) + 1)
-    ranged = rows.repartitionByRange(shards, "doc_id", "h", "at").sortWithinPartitions("doc_id", "h", "at").select("doc_id", "text")
+    ranged = rows.repartitionByRange(shards, "doc_id", "at").sortWithinPartitions("doc_id", "at", "text").select("doc_id", "text")
     options = {
         "compression": "zstd", "parquet.block.size": str(row_group_mb << 20), "parquet.page.size": str(page_kb << 10), "parquet.page.write-checksum.enabled": "true",
         "parquet.enable.dictionary": str(encoding == "dictionary").lower(), "parquet.dictionary.page.size": str(1 << 20), "parquet.writer.version": "PARQUET_2_0", "parquet.column.index.truncate.length": "64",

@@ -20,9 +20,9 @@ ENDS = frozenset(chr(c) for c in range(0x250) if chr(c) in "0123456789" or unico
 class Memo(dict):
     """Id bytes by word (lower-case UTF-8 bytes); a word that is missing is looked up in the former memo or learned."""
 
-    def __init__(self, tokenizer, alphabet: dict[int, str], former: dict):
+    def __init__(self, tokenizer, alphabet: dict[int, str], packed: list[bytes], former: dict):
         super().__init__()
-        self.tokenizer, self.tokenize, self.alphabet, self.former = tokenizer, tokenizer.model.tokenize, alphabet, former
+        self.tokenizer, self.tokenize, self.alphabet, self.packed, self.former = tokenizer, tokenizer.model.tokenize, alphabet, packed, former
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.former.get(word)
@@ -32,15 +32,18 @@ class Memo(dict):
         return ids
 
     def learned(self, word: bytes) -> bytes:
+        packed = self.packed
+        if word.isalpha() and word.islower():  # ASCII letters, which the byte-level alphabet shows as themselves
+            return b"".join([packed[t.id] for t in self.tokenize(word.decode())])
         text = word.decode("utf-8", "replace")
-        if text.isalpha() and text.islower() and (text.isascii() or all(ord(c) in self.alphabet for c in text)):
+        if text.isalpha() and text.islower() and all(ord(c) in self.alphabet for c in text):
             # Latin letters alone are one unit to the tokenizer: its BPE model gets them at once, in the byte-level alphabet.
-            return b"".join([t.id.to_bytes(4, "little") for t in self.tokenize(text.translate(self.alphabet))])
+            return b"".join([packed[t.id] for t in self.tokenize(text.translate(self.alphabet))])
         stem = word.rstrip(PUNCTUATION)
         if stem and len(stem) < len(word) and b"<|" not in word and stem.decode("utf-8", "replace")[-1] in ENDS:
             # Units end between a letter or digit and the punctuation after it.
             return self[stem] + self[word[len(stem) :]]
-        return b"".join([i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+        return b"".join([packed[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
 
 class WordEncoder:
@@ -61,14 +64,15 @@ class WordEncoder:
         shown = [c for c in range(256) if 33 <= c < 127 or 161 <= c < 173 or 174 <= c]  # the byte-level alphabet shows these bytes as themselves
         letter = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in shown)}
         self.alphabet = {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x250) if chr(c).isalpha() and chr(c) == chr(c).lower() and unicodedata.is_normalized("NFC", chr(c))}
-        self.memo = Memo(self.tokenizer, self.alphabet, {})
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.memo = Memo(self.tokenizer, self.alphabet, self.packed, {})
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         out = []
         for t in texts:
             t = t or b""
             if len(self.memo) > self.memo_words:
-                self.memo = Memo(self.tokenizer, self.alphabet, dict(self.memo))
+                self.memo = Memo(self.tokenizer, self.alphabet, self.packed, dict(self.memo))
             # The tokenizer ignores case, but in the names of special tokens.
             out.append(b"".join(map(self.memo.__getitem__, (t if b"<|" in t else t.lower()).split())) + self.end)
         return out
