@@ -331,6 +331,8 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     long_ = undone.where(F.col("members") > SHORT_LIST).select("k", "class", "n", "label")
     busy = long_.join(long_.groupBy("class").agg(F.count("*").alias("lists")), "class")
     heads = busy.groupBy("k").agg(F.max(F.struct("lists", "class")).alias("head")).select("k", F.col("head.class").alias("head"))
+    heads, heads_path = common.written(heads, "heads")
+    open_paths.append(heads_path)
     merged = long_.join(heads, "k").select("head", "class", "n", "label").distinct()
     band = F.expr(f"cast(floor(ln(n) / ln({100.1 / percent}D)) as int)")
     banded = merged.withColumn("own", band).withColumn("v", F.explode(F.array("own", F.col("own") + 1)))
