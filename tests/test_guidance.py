@@ -208,3 +208,38 @@ def test_accept_in_order(spark):
 def test_card(spark):
     counts = spark.createDataFrame([("split", "train", 9), ("task", "route", 9), ("city", "Accra", 9), ("reason", "side", 1)], "kind string, value string, n long")
     assert "10 % of those written were rejected" in evaluation.card(counts, "T")
+
+
+def plain_merge(metres, named, roads):
+    """The merging rule, step lists rebuilt each time."""
+    steps = [(i, i, i, m) for i, m in enumerate(metres)]
+    while len(steps) > 1:
+        weak = [i for i, (_, _, who, m) in enumerate(steps) if m < (walk.WEAK if named[who] else walk.WEAK_UNNAMED)]
+        if weak:
+            at = min(weak, key=lambda i: steps[i][3])
+        elif len(steps) > walk.MOST_STEPS:
+            at = min(range(len(steps)), key=lambda i: (named[steps[i][2]], steps[i][3]))
+        else:
+            break
+        low = max(at - 1, 0)
+        two = steps[low : low + 2]
+        total = two[0][3] + two[1][3]
+        who = max([s for s in two if named[s[2]] and s[3] >= walk.NAME_SHARE * total] or two, key=lambda s: s[3])[2]
+        stop = low + 2
+        while stop < len(steps) and roads[steps[stop][2]] == roads[who]:
+            total += steps[stop][3]
+            stop += 1
+        steps[low:stop] = [(steps[low][0], steps[stop - 1][1], who, total)]
+    return [list(s[:3]) for s in steps]
+
+
+def test_merge_is_the_plain_rule():
+    import random
+
+    rng = random.Random(4)
+    for _ in range(1500):
+        n = rng.randint(1, 30)
+        metres = [float(rng.choice([20, 50, 100, 119, 120, 121, 299, 300, 500, 2000, rng.randint(1, 900)])) for _ in range(n)]
+        roads = [rng.choice("abcdefu") for _ in range(n)]
+        named = [r != "u" for r in roads]
+        assert walk.merge_runs(metres, named, roads) == plain_merge(metres, named, roads)
