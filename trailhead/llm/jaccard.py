@@ -359,6 +359,7 @@ def components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id of the component)."""
     found = classes(docs, width, percent)
     least = found.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    least, _ = common.written(least, "least")  # so that a very large component can be split when it meets its rows
     return found.join(least, "label", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
