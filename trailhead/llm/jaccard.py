@@ -262,15 +262,13 @@ def in_blocks(rows: DataFrame, percent: int) -> DataFrame:
         order = np.argsort(inverse, kind="stable")
         owner, inverse = owner[order], inverse[order]
         common_ = np.zeros((len(n), len(n)), dtype=np.float32)
-        for at in range(0, int(inverse[-1]) + 1 if len(inverse) else 0, 4096):
-            low, high = np.searchsorted(inverse, [at, at + 4096])
-            x = np.zeros((len(n), 4096), dtype=np.float32)
+        for at in range(0, int(inverse[-1]) + 1 if len(inverse) else 0, 1024):
+            low, high = np.searchsorted(inverse, [at, at + 1024])
+            x = np.zeros((len(n), 1024), dtype=np.float32)
             x[owner[low:high], inverse[low:high] - at] = 1
             common_ += x @ x.T
-        inter = common_.astype(np.int64)
         name = {x: k for k, x in enumerate(dict.fromkeys(labels))}
         group = np.array([name[x] for x in labels])
-        i, j = np.nonzero(np.triu((100 * inter >= percent * (n[:, None] + n[None, :] - inter)) & (group[:, None] != group[None, :]), 1))
         parent = list(range(len(name)))
 
         def root(x):
@@ -280,15 +278,26 @@ def in_blocks(rows: DataFrame, percent: int) -> DataFrame:
             return x
 
         a, b = [], []
-        for x, y in zip(i.tolist(), j.tolist(), strict=True):
-            p, q = root(group[x]), root(group[y])
-            if p != q:
-                parent[p] = q
-                a.append(owners[x])
-                b.append(owners[y])
+        for at in range(0, len(n), 128):  # some rows of the matrix at a time, for its comparison takes much more room than itself
+            rows_ = slice(at, at + 128)
+            inter = common_[rows_].astype(np.int64)
+            link = (100 * inter >= percent * (n[rows_, None] + n[None, :] - inter)) & (group[rows_, None] != group[None, :])
+            i, j = np.nonzero(np.triu(link, at + 1))
+            for x, y in zip((i + at).tolist(), j.tolist(), strict=True):
+                p, q = root(group[x]), root(group[y])
+                if p != q:
+                    parent[p] = q
+                    a.append(owners[x])
+                    b.append(owners[y])
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.groupBy("k", "i", "j").applyInArrow(lambda key, table: run(key, table), "a long, b long")
+    def tidy(key, table):
+        try:
+            return run(key, table)
+        finally:
+            common.trim()
+
+    return rows.groupBy("k", "i", "j").applyInArrow(lambda key, table: tidy(key, table), "a long, b long")
 
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
