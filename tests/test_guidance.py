@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trailhead.functions import facts, fuzzy, prompts
-from trailhead.operators import evaluation, roads, scenarios, walk
+from trailhead.operators import alike, evaluation, roads, scenarios, walk
 from trailhead.plans.fixtures import city, fixture, shaped
 from trailhead.plans.fixtures import scenarios as order_scenarios
 
@@ -199,6 +199,22 @@ def test_fuzzy_joins_match_all_pairs(spark):
         assert (r["verdict"] == "NOT IN OSM") == (best < 90)
 
 
+def test_no_alike_pair_is_missed(spark):
+    r = random.Random(5)
+    words = ["a", "ab", "bank", "market", "the", "hotel", "école", "hall"]
+    name = lambda: " ".join(r.choice(words) if r.random() < 0.6 else "".join(r.choice("abco ") for _ in range(r.randint(0, 9))) for _ in range(r.randint(0, 4)))
+    known = {name() for _ in range(150)}
+    asked = {x[: r.randint(0, 6)] + r.choice("abz") + x[r.randint(0, 6) :] for x in known} | {name() for _ in range(60)}
+    frame = lambda rows: spark.createDataFrame([(x,) for x in [*rows, None]], "low string")
+    for least in (80.0, 90.0):
+        got = [tuple(x) for x in alike.pairs(frame(asked), frame(known), least).collect()]
+        assert len(got) == len(set(got)) and set(got) >= {(x, y) for x in asked for y in known if fuzzy.token_set_score(x, y) >= least}
+    places = spark.createDataFrame([(7, "Old Bank", 1.0, 1.0), (3, "bank OLD", 2.0, 2.0), (9, None, 0.0, 0.0)], "id long, name string, lat double, lon double")
+    claims = spark.createDataFrame([(1, "old bank", 2.0, 2.0), (2, None, 2.0, 2.0), (3, "Zebra", 2.0, 2.0), (4, "Old bank", 1.0, 1.0)], "claim long, name string, lat double, lon double")
+    got = {x["claim"]: (x["verdict"], x["likeness"]) for x in evaluation.verdicts(claims, places).collect()}
+    assert got == {1: ("OK", 100.0), 2: ("NOT IN OSM", None), 3: ("NOT IN OSM", None), 4: ("REAL BUT FAR", 100.0)}
+
+
 def test_accept_in_order(spark):
     rows = [("c", 1, "Big Market", 6.0, 1.0), ("c", 2, "Market (old)", 6.0005, 1.0005), ("c", 3, "Market Hall", 6.01, 1.0), ("c", 4, "big market", 7.0, 1.0), ("c", 5, "Clinic", 6.0, 1.0)]
     got = evaluation.accept_in_order(spark.createDataFrame(rows, "city string, id long, name string, lat double, lon double"), "id").collect()

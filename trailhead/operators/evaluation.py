@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trailhead.functions import facts, fuzzy
 from trailhead.functions import scalar as S
-from trailhead.operators import spatial
+from trailhead.operators import alike, spatial
 
 
 def scored(answers: DataFrame, scenarios: DataFrame) -> DataFrame:
@@ -76,19 +76,14 @@ def accept_in_order(places: DataFrame, order: str, least: float = 80.0) -> DataF
     return places.groupBy("city").applyInPandas(run, schema)
 
 
-def verdicts(claims: DataFrame, landmarks: DataFrame) -> DataFrame:
-    """claim, verdict, likeness, metres of claimed landmarks (claim, name, lat, lon of the turn): the landmark most alike by name, then how far it is.
-
-    Pairs are met by a shared pair of letters of their sorted words: texts without one can't be 90 alike."""
-    text = lambda c: F.concat(F.lit(" "), F.array_join(F.array_sort(F.array_distinct(S.words(F.lower(c)))), " "), F.lit(" "))
-    keys = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text(c)) - 1), lambda i: F.substring(text(c), i, 2)))
-    asked = claims.where(F.size(S.words(F.col("name"))) > 0).withColumn("key", F.explode(keys(F.col("name"))))
-    known = landmarks.where(F.size(S.words(F.col("name"))) > 0).select("id", F.col("name").alias("known"), F.col("lat").alias("k_lat"), F.col("lon").alias("k_lon")).withColumn("key", F.explode(keys(F.col("known"))))
-    pairs = asked.join(known, "key").dropDuplicates(["claim", "id"]).withColumn("likeness", fuzzy.token_set_ratio(F.lower("name"), F.lower("known")))
-    best = pairs.groupBy("claim").agg(F.max_by(F.struct("likeness", "k_lat", "k_lon"), F.struct("likeness", -F.col("id"))).alias("b"))
-    rows = claims.join(best, "claim", "left").withColumn("m", S.great_circle(F.col("lat"), F.col("lon"), F.col("b.k_lat"), F.col("b.k_lon")))
-    verdict = F.when(F.coalesce(F.col("b.likeness"), F.lit(0.0)) < 90, "NOT IN OSM").when(F.col("m") <= 150, "OK").otherwise("REAL BUT FAR")
-    return rows.select("claim", verdict.alias("verdict"), F.col("b.likeness").alias("likeness"), F.when(verdict != "NOT IN OSM", F.floor("m")).alias("metres"))
+def verdicts(claims: DataFrame, landmarks: DataFrame, least: float = 90.0) -> DataFrame:
+    """claim, verdict, likeness, metres of claimed landmarks (claim, name, lat, lon of the turn): the landmark most alike by name
+    and how far it is.  If none is ``least`` alike, likeness and metres are null.  Each different name is looked up once."""
+    asked = claims.withColumn("low", F.lower("name"))
+    best = alike.most_alike(asked.select("low"), landmarks, least).select("low", "likeness", F.col("lat").alias("k_lat"), F.col("lon").alias("k_lon"))
+    rows = asked.join(best, "low", "left").withColumn("m", S.great_circle(F.col("lat"), F.col("lon"), F.col("k_lat"), F.col("k_lon")))
+    verdict = F.when(F.col("likeness").isNull(), "NOT IN OSM").when(F.col("m") <= 150, "OK").otherwise("REAL BUT FAR")
+    return rows.select("claim", verdict.alias("verdict"), "likeness", F.floor("m").alias("metres"))
 
 
 def release_counts(pairs: DataFrame, rejects: DataFrame) -> DataFrame:
