@@ -157,6 +157,30 @@ def one_scenario(spark):
     return spark.createDataFrame([(row,)], "j string").select(F.from_json("j", SCENARIO).alias("s")).select("s.*")
 
 
+def test_registered_task(spark):
+    world, areas = city(spark, SF)
+
+    @scenarios.task("where_is", 5)
+    def where_is(world, areas, drawn, pools):
+        asked = drawn.withColumn("at", F.floor(scenarios.chance("which") * pools.poi.count())).join(pools.poi, "at")
+        start = F.struct("name", "lat", "lon", "area", F.col("cat").alias("type"), F.lit(None).cast(scenarios.SIGHT).alias("near"))
+        return asked.select("draw", F.lit(0).alias("part"), "task", start.alias("start"), F.array("name").alias("pair"))
+
+    try:
+        rows = scenarios.build(spark, world, areas, 60, ["where_is", "nearby"]).collect()
+    finally:
+        del scenarios.TASKS["where_is"], scenarios.MAKERS["where_is"]
+    names = [r["start"]["name"] for r in rows if r["task"] == "where_is"]
+    assert len(names) == len(set(names)) > 5 and {r["task"] for r in rows} == {"where_is", "nearby"} and all(r["split"] and r["id"] for r in rows)
+
+
+def test_numbering_by_ranges(spark):
+    rows = spark.range(0, 500).select(F.xxhash64("id").alias("key"), "id")
+    got = scenarios._numbered(rows, "key").orderBy("at").collect()
+    assert [r["at"] for r in got] == list(range(500)) and [r["key"] for r in got] == sorted(r["key"] for r in got)
+    assert scenarios._numbered(rows.where("id < 0"), "key").count() == 0
+
+
 def test_reasons(spark, one_scenario):
     rows = spark.createDataFrame([(n, *c[:3]) for n, c in enumerate(CASES)], "n int, i string, o string, p array<string>")
     found = facts.with_facts(one_scenario).join(rows, F.lit(True)).select("n", facts.reason(F.col("i"), F.col("o"), F.col("p")).alias("why")).collect()

@@ -1,11 +1,12 @@
 """Draws scenarios over a city: each draw picks a task, its ends and its variant by hashes of its number, all draws at once.
 
 Two rounds of routing serve every task: the plain route, then the second one (way back, or round what is to be avoided).
-A draw that fails a test gives no scenario.  New tasks are entries of ``TASKS``.
+A draw that fails a test gives no scenario.  New tasks are entries of ``TASKS``, or functions registered by ``task``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,7 +23,7 @@ class Task:
     """``least`` to ``most`` metres in a straight line; a route may have ``factor`` times that and ``slack`` more."""
 
     weight: int
-    start: str  # "major", "poi" or "point"
+    start: str  # "major", "poi" or "point"; "own" if a function makes the whole scenario
     least: float
     most: float
     min_steps: int
@@ -39,14 +40,36 @@ TASKS = {
     "avoid_landmark": Task(12, "major", 2000, 12000, 3, "landmark"),
     "avoid_road": Task(8, "major", 2000, 12000, 3, "road"),
     "gps_start": Task(14, "point", 800, 9000, 0),
-    "nearby": Task(8, "point", 0, 0, 0),
+    "nearby": Task(8, "own", 0, 0, 0),
     "connects": Task(8, "major", 1500, 10000, 3),
 }
+#: What makes the scenarios of the tasks whose start is "own".
+MAKERS: dict[str, Callable[[World, DataFrame, DataFrame, Pools], DataFrame]] = {}
 TRIES = 80
 PLACE = "struct<name:string,lat:double,lon:double,area:string,type:string>"
 SIGHT = "struct<name:string,type:string,dist_m:int,direction:string>"
 
 
+@dataclass(frozen=True)
+class Pools:
+    """A city's important landmarks, all its landmarks and its nodes, each numbered from 0 in column ``at``."""
+
+    major: DataFrame
+    poi: DataFrame
+    nodes: DataFrame
+
+
+def task(name: str, weight: int):
+    """Registers a task of its own: a function of a world, its areas, the task's draws (draw, task) and the pools, which gives
+    rows of draw, part, task, start, pair and any further facts of scenarios; draws without a row give none."""
+
+    def register(make):
+        TASKS[name], MAKERS[name] = Task(weight, "own", 0, 0, 0), make
+        return make
+
+    return register
+
+
 def chance(*salt) -> Column:
     """A number in [0, 1) from the draw and the salt."""
     return F.pmod(F.xxhash64("draw", *[s if isinstance(s, Column) else F.lit(s) for s in salt]), F.lit(1 << 40)) / float(1 << 40)
@@ -75,8 +98,12 @@ def draws(spark, n: int, tasks: list[str] | None = None) -> DataFrame:
 
 
 def _numbered(rows: DataFrame, order: str) -> DataFrame:
-    """Rows of one city numbered from 0; the city's places or nodes pass through one task."""
-    return rows.withColumn("at", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(order)) - 1)
+    """Rows numbered from 0 (``at``) by ``order``: they are dealt by ranges of it, and only the ranges' counts are summed in one place."""
+    dealt = settled(rows.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    base = dealt.groupBy("_range").agg(F.count("*").alias("n")).select("_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
+    return dealt.withColumn("at", place).join(F.broadcast(base), "_range").withColumn("at", F.col("at") + F.col("_base")).drop("_range", "_base")
 
 
 def _place(prefix: str) -> Column:
@@ -92,18 +119,16 @@ def _pairs(drawn: DataFrame, pool: DataFrame) -> DataFrame:
     tried = tried.withColumn("i", F.floor(chance("a", F.col("try")) * n)).withColumn("j", F.floor(chance("b", F.col("try")) * (n - 1)))
     tried = tried.withColumn("j", F.when(F.col("j") >= F.col("i"), F.col("j") + 1).otherwise(F.col("j")))
     whole = F.struct("id", "name", "lat", "lon", "area", "cat", "node")
-    rows = _numbered(pool, "id").select("at", whole.alias("x"))
+    rows = pool.select("at", whole.alias("x"))
     both = tried.join(rows.select(F.col("at").alias("i"), F.col("x").alias("a")), "i").join(rows.select(F.col("at").alias("j"), F.col("x").alias("b")), "j")
     d = S.great_circle(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon"))
     fit = both.withColumn("d", d).where((F.col("a.node") != F.col("b.node")) & (F.col("d") >= of_task(lambda t: t.least)) & (F.col("d") <= of_task(lambda t: t.most)))
     return fit.groupBy("draw", "task").agg(F.min_by(F.struct("a", "b", "d"), "try").alias("f")).select("draw", "task", F.col("f.a").alias("a"), F.col("f.b").alias("b"), F.col("f.d").alias("d"))
 
 
-def _points(drawn: DataFrame, world: World, areas: DataFrame) -> DataFrame:
+def _points(drawn: DataFrame, nodes: DataFrame, areas: DataFrame) -> DataFrame:
     """draw, task, lat, lon, area: a node moved by up to 0.0003 degrees."""
-    n = world.nodes.count()
-    rows = _numbered(world.nodes, "node")
-    picked = drawn.withColumn("at", F.floor(chance("node") * n)).join(rows, "at")
+    picked = drawn.withColumn("at", F.floor(chance("node") * nodes.count())).join(nodes, "at")
     shift = lambda salt: (chance(salt) * 2 - 1) * 3e-4
     moved = picked.select("draw", "task", (F.col("lat") + shift("up")).alias("lat"), (F.col("lon") + shift("over")).alias("lon"))
     return moved.join(spatial.nearest_of_few(moved, areas, "draw"), "draw", "left").withColumn("area", F.coalesce("area", F.lit("")))
@@ -122,18 +147,16 @@ def _route(queries: DataFrame, world: World) -> DataFrame:
     return _length(roads.shortest(queries, world.edges))
 
 
-def _starts(spark, world: World, areas: DataFrame, drawn: DataFrame) -> DataFrame:
+def _starts(world: World, areas: DataFrame, drawn: DataFrame, pools: Pools) -> DataFrame:
     """draw, task, a, b, d, near (struct, points only): the ends of every draw that has a route."""
-    major, poi = world.sights().where("imp >= 3"), world.sights()
-    pool = lambda kind: drawn.where(F.col("task").isin([k for k, t in TASKS.items() if t.start == kind]))
-    ends = _pairs(pool("major"), major).unionByName(_pairs(pool("poi"), poi)).withColumn("near", F.lit(None).cast(SIGHT))
-    points = _points(drawn.where("task = 'gps_start'"), world, areas)
+    of_kind = lambda kind: drawn.where(F.col("task").isin([k for k, t in TASKS.items() if t.start == kind]))
+    ends = _pairs(of_kind("major"), pools.major).unionByName(_pairs(of_kind("poi"), pools.poi)).withColumn("near", F.lit(None).cast(SIGHT))
+    points = _points(drawn.where("task = 'gps_start'"), pools.nodes, areas)
     near = _near(points, world, "draw", 400.0).select("draw", walk.spoken_sight(F.get("sights", F.lit(0))).alias("near"))
     snap = spatial.nearest(points, world.nodes.select("node", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")), "draw", "node", 80.0).select("draw", "node")
-    n = major.count()
     whole = F.struct("id", "name", "lat", "lon", "area", "cat", "node")
-    goals = _numbered(major, "id").select("at", whole.alias("b"))
-    here = points.join(near, "draw").join(snap, "draw").withColumn("at", F.floor(chance("goal") * n)).join(goals, "at")
+    goals = pools.major.select("at", whole.alias("b"))
+    here = points.join(near, "draw").join(snap, "draw").withColumn("at", F.floor(chance("goal") * pools.major.count())).join(goals, "at")
     a = F.struct(
         F.concat(F.lit("gps:"), F.col("area")).alias("id"), F.lit(None).cast("string").alias("name"), F.round("lat", 5).alias("lat"), F.round("lon", 5).alias("lon"), "area", F.lit("gps point").alias("cat"), "node"
     )
@@ -146,15 +169,13 @@ def _names(*more) -> Column:
     return F.filter(F.array("a.name", "b.name", *more), lambda x: x.isNotNull())
 
 
-def _nearby(world: World, areas: DataFrame, drawn: DataFrame) -> DataFrame:
+@task("nearby", 8)
+def _nearby(world: World, areas: DataFrame, drawn: DataFrame, pools: Pools) -> DataFrame:
     """The ``nearby`` task: a landmark or a point, even odds, with three to six landmarks within 800 m."""
-    mine = drawn.where("task = 'nearby'")
-    major = world.sights().where("imp >= 3")
-    n = major.count()
     named = chance("named") < 0.5
-    rows = _numbered(major, "id").select("at", "id", "name", "lat", "lon", "area", "cat")
-    at_place = mine.where(named).withColumn("at", F.floor(chance("place") * n)).join(rows, "at").drop("at", "id")
-    at_point = _points(mine.where(~named), world, areas).withColumns({"name": F.lit(None).cast("string"), "cat": F.lit("gps point")})
+    rows = pools.major.select("at", "name", "lat", "lon", "area", "cat")
+    at_place = drawn.where(named).withColumn("at", F.floor(chance("place") * pools.major.count())).join(rows, "at").drop("at")
+    at_point = _points(drawn.where(~named), pools.nodes, areas).withColumns({"name": F.lit(None).cast("string"), "cat": F.lit("gps point")})
     starts = at_place.unionByName(at_point)
     found = starts.join(_near(starts, world, "draw", 800.0), "draw")
     kept = F.slice(F.filter("sights", lambda x: F.col("name").isNull() | (x["name"] != F.col("name"))), 1, 6)
@@ -250,7 +271,9 @@ def build(spark, world: World, areas: DataFrame, n: int, tasks: list[str] | None
     """Scenarios of ``n`` draws, without repeats, numbered and split.  Each round's rows are written, as the next round reads them more than once."""
     drawn = draws(spark, n, tasks)
     world = World(world.city, settled(world.nodes), settled(world.edges), settled(world.landmarks))
-    ends = settled(_starts(spark, world, areas, drawn))
+    sights = world.sights()
+    pools = Pools(_numbered(sights.where("imp >= 3"), "id"), _numbered(sights, "id"), _numbered(world.nodes, "node"))
+    ends = settled(_starts(world, areas, drawn, pools))
     asked = ends.select(F.col("draw").alias("query"), F.col("a.node").alias("src"), F.col("b.node").alias("dst"), F.lit(None).cast("array<bigint>").alias("banned"), F.lit(None).cast("string").alias("banned_road"))
     first = ends.join(_route(asked, world).withColumnRenamed("query", "draw"), "draw")
     first = first.where(F.col("length") <= of_task(lambda t: t.factor) * F.col("d") + of_task(lambda t: t.slack))
@@ -265,8 +288,10 @@ def build(spark, world: World, areas: DataFrame, n: int, tasks: list[str] | None
     every = settled(plain.unionByName(outward).unionByName(second, allowMissingColumns=True).unionByName(asked_about, allowMissingColumns=True))
     pair = F.when((F.col("task") == "reverse"), F.array("b.id", "a.id")).otherwise(F.array("a.id", "b.id"))
     routed = _facts(every, world).withColumn("pair", pair).select(*COMMON, *EXTRA)
-    whole = routed.unionByName(_nearby(world, areas, drawn), allowMissingColumns=True)
-    return numbered(split(distinct(whole)), world.city)
+    for name, make in MAKERS.items():
+        if tasks is None or name in tasks:
+            routed = routed.unionByName(make(world, areas, drawn.where(F.col("task") == name), pools), allowMissingColumns=True)
+    return numbered(split(distinct(routed)), world.city)
 
 
 def enough(spark, world: World, areas: DataFrame, n: int, tasks: list[str] | None = None, most: int = 60) -> DataFrame:
