@@ -36,3 +36,34 @@ def test_routes_match_relaxation(spark):
         path = found[q]["path"]
         assert found[q]["metres"] == best.get(q)
         assert path is None or (path[0], path[-1]) == (0, q) and sum(length[x] for x in zip(path, path[1:], strict=False)) == best[q]
+
+
+@pytest.mark.parametrize("name", ["shortest_path_length", "avoid_nodes_length", "avoid_road_length"])
+def test_routing_sends_no_graph_through_the_driver(spark, monkeypatch, name):
+    from pyspark import SparkContext
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refused(*_, **__):
+        raise AssertionError("the graph goes through the driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(DataFrame, "toPandas", refused)
+        m.setattr(SparkContext, "broadcast", refused)
+        rows = QUERIES[name](spark, SF)
+        assert rows.columns == ["query", "dm"] and rows.count() > 1000
+
+
+def test_one_search_serves_many_batches(spark):
+    from trailhead.operators import roads
+
+    edges = spark.createDataFrame([(1, 2, 1.0, "A"), (2, 3, 1.0, "B"), (1, 4, 1.0, "A"), (4, 3, 1.0, "C"), (3, 5, 2.0, None)], "src long, dst long, metres double, name string")
+    asked = spark.createDataFrame([(1, 1, 5, None, None), (2, 1, 5, [2], None), (3, 1, 5, None, "A"), (4, 9, 9, None, None), (5, 9, 9, [9], None), (6, 1, 7, None, None), (7, 1, 1, [5], None), (8, 1, 5, [5], None)], "query long, src long, dst long, banned array<bigint>, banned_road string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        got = {r["query"]: (r["metres"], r["path"]) for r in roads.shortest(asked, edges).collect()}
+        lengths = {r["query"]: r["metres"] for r in roads.shortest(asked, edges, paths=False).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {1: (4.0, [1, 2, 3, 5]), 2: (4.0, [1, 4, 3, 5]), 3: (None, None), 4: (0.0, [9]), 5: (None, None), 6: (None, None), 7: (0.0, [1]), 8: (None, None)}
+    assert lengths == {q: m for q, (m, _) in got.items()}
+    assert roads.shortest(asked, edges.where("false")).where("metres is not null").count() == 2
