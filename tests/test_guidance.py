@@ -123,6 +123,42 @@ def test_steps_match_a_walk_node_by_node(spark):
             assert len(s["turn_lms"]) <= 2
 
 
+def test_walks_send_no_graph_through_the_driver(spark, monkeypatch):
+    from pyspark import SparkContext
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refused(*_, **__):
+        raise AssertionError("the graph goes through the driver")
+
+    world, areas = city(spark, SF)
+    asked = world.nodes.select(F.col("node").alias("query"), F.lit(3).cast("long").alias("src"), F.col("node").alias("dst"), F.when(F.col("node") % 2 == 0, F.array(F.lit(44).cast("long"))).alias("banned"), F.lit(None).cast("string").alias("banned_road"), F.array(F.lit("Bank 3")).alias("exclude"))
+    with monkeypatch.context() as m:
+        m.setattr(DataFrame, "toPandas", refused)
+        m.setattr(SparkContext, "broadcast", refused)
+        routed = walk.describe_routes(asked, world)
+        paths = roads.shortest(asked, world.edges).where("path is not null").withColumn("exclude", F.array(F.lit("Bank 3")))
+        given = walk.describe(paths, world)
+        assert scenarios.build(spark, world, areas, 40).count() > 5
+    assert sorted(routed.collect()) == sorted(given.collect()) and given.count() > 100
+
+
+@pytest.mark.parametrize("name", ["knn_landmarks", "nearest_node_snap", "radius_nodes", "names_not_taken"])
+def test_neighbour_cells_are_not_broadcast(spark, name):
+    from trailhead.plans.queries import QUERIES
+
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_r" in plan
+
+
+def test_either_side_may_enter_its_neighbours(spark):
+    from trailhead.operators import spatial
+
+    places = fixture(spark, SF, "vertices").select("node", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+    points = fixture(spark, SF, "landmarks").select("id", "lat", "lon")
+    one, other = (sorted(spatial.within(points, places, 333.0, few_points=few).select("id", "node", "d").collect()) for few in (False, True))
+    assert one == other and len(one) > 50
+
+
 def test_scenarios_keep_their_rules(spark):
     world, areas = city(spark, SF)
     rows = scenarios.build(spark, world, areas, 400).collect()

@@ -242,7 +242,7 @@ def _second(rows: DataFrame, world: World) -> DataFrame:
     rows = rows.where((F.col("task") == "reverse") | F.col("what").isNotNull())
     first = world.sights().groupBy(F.col("name").alias("what")).agg(F.min_by(F.struct("lat", "lon"), "id").alias("at")).select("what", "at.lat", "at.lon")
     shut = rows.where("task = 'avoid_landmark'").select("what").distinct().join(first, "what")
-    inside = spatial.within(shut, world.nodes.select("node", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")), 150.0)
+    inside = spatial.within(shut, world.nodes.select("node", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")), 150.0, few_points=True)
     shut = inside.groupBy("what").agg(F.collect_set("node").alias("banned"))
     rows = rows.withColumnRenamed("path", "path_1").withColumnRenamed("length", "length_1").drop("steps", "last_way", "last_lat", "last_lon").join(shut, "what", "left")
     back = F.col("task") == "reverse"
