@@ -275,6 +275,21 @@ def test_no_alike_pair_is_missed(spark):
     assert got == {1: ("OK", 100.0), 2: ("NOT IN OSM", None), 3: ("NOT IN OSM", None), 4: ("REAL BUT FAR", 100.0)}
 
 
+def test_names_found_by_words_do_not_meet_by_letters(spark, monkeypatch):
+    from trailhead.plans import making
+    from trailhead.plans.fixtures import fixture as whole
+
+    met = alike._met
+    seen = {}
+    monkeypatch.setattr(alike, "_met", lambda asked, known, least, letters: seen.setdefault(letters, asked) and met(asked, known, least, letters))
+    claims, places = making._claims(spark, SF)
+    claims = claims.unionByName(claims.limit(1).selectExpr("-1L as claim", "'the markte no 8' as name", "lat", "lon"))
+    got = {r["claim"]: r for r in evaluation.verdicts(claims, places).collect()}
+    assert {r["low"] for r in seen[True].collect()} == {"golden gate", "the markte no 8"} and seen[False].count() > 5
+    best = max(fuzzy.token_set_score("the markte no 8", p["name"].lower()) for p in places.collect())
+    assert (got[-1]["verdict"] == "NOT IN OSM") == (best < 90) and len(got) == whole(spark, SF, "landmarks").count() + 1
+
+
 def test_accept_in_order(spark):
     rows = [("c", 1, "Big Market", 6.0, 1.0), ("c", 2, "Market (old)", 6.0005, 1.0005), ("c", 3, "Market Hall", 6.01, 1.0), ("c", 4, "big market", 7.0, 1.0), ("c", 5, "Clinic", 6.0, 1.0)]
     got = evaluation.accept_in_order(spark.createDataFrame(rows, "city string, id long, name string, lat double, lon double"), "id").collect()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from trailhead.functions import fuzzy
 from trailhead.functions import scalar as S
+from trailhead.sources.stages import settled
 
 
 def _words(low: Column) -> Column:
@@ -40,27 +41,36 @@ def _rarest(items: DataFrame, counts: DataFrame, loss: float) -> DataFrame:
     return items.join(counts, "x", "left").select("low", "x", (before <= F.col("n") * loss + 1e-6).alias("rare"))
 
 
+def _met(asked: DataFrame, known: DataFrame, least: float, letters: bool) -> DataFrame:
+    """low, known: the pairs that meet by a rare pair of letters, or by a rare word; repeats are not dropped."""
+    e = 1 - least / 100
+    loss = (4 if letters else 2) * e / (1 + e)
+    there = _items(known, letters)
+    counts = there.groupBy("x").count()
+    a = _rarest(_items(asked, letters), counts, loss)
+    b = _rarest(there, counts, loss).withColumnsRenamed({"low": "known", "rare": "known_rare"})
+    met = a.where("rare").join(b.where("known_rare"), "x").select("low", "known")
+    if not letters:
+        for mine, theirs in (("rare", "not known_rare"), ("not rare", "known_rare")):
+            met = met.unionByName(a.where(mine).join(b.where(theirs), "x").select("low", "known"))
+    return met
+
+
 def pairs(asked: DataFrame, known: DataFrame, least: float = 90.0) -> DataFrame:
     """low, known: those pairs of texts (low of each table) that may be alike, all that are among them, each once."""
-    e = 1 - least / 100
-    found = None
-    for letters, loss in ((True, 4 * e / (1 + e)), (False, 2 * e / (1 + e))):
-        there = _items(known, letters)
-        counts = there.groupBy("x").count()
-        a = _rarest(_items(asked, letters), counts, loss)
-        b = _rarest(there, counts, loss).withColumnsRenamed({"low": "known", "rare": "known_rare"})
-        meet = [a.where("rare").join(b.where("known_rare"), "x")]
-        if not letters:
-            meet += [a.where("rare").join(b.where("not known_rare"), "x"), a.where("not rare").join(b.where("known_rare"), "x")]
-        for rows in meet:
-            found = rows.select("low", "known") if found is None else found.unionByName(rows.select("low", "known"))
-    return found.distinct()
+    return _met(asked, known, least, True).unionByName(_met(asked, known, least, False)).distinct()
 
 
 def most_alike(names: DataFrame, landmarks: DataFrame, least: float = 90.0) -> DataFrame:
-    """low, likeness, id, lat, lon: for each lower-case name the landmark (id, name, lat, lon) most alike, if alike enough; ties go to the smaller id."""
+    """low, likeness, id, lat, lon: for each lower-case name the landmark (id, name, lat, lon) most alike, if alike enough; ties go to the smaller id.
+
+    Pairs of likeness 100 hold all words of one text, so they meet by words.  Only the names without such a landmark meet others by
+    letters, of which there are so few that most texts of one kind share some."""
     known = landmarks.groupBy(F.lower("name").alias("known")).agg(F.min(F.struct("id", "lat", "lon")).alias("place"))
-    met = pairs(names.distinct(), known.select(F.col("known").alias("low")), least)
-    scored = met.withColumn("likeness", fuzzy.token_set_ratio("low", "known")).where(F.col("likeness") >= least)
+    names, texts = names.distinct(), known.select(F.col("known").alias("low"))
+    scored = lambda met: met.distinct().withColumn("likeness", fuzzy.token_set_ratio("low", "known")).where(F.col("likeness") >= least)
+    by_words = settled(scored(_met(names, texts, least, False)))
+    rest = settled(names.join(by_words.where("likeness = 100").select("low"), "low", "left_anti"))
+    found = by_words.unionByName(scored(_met(rest, texts, least, True)))
     best = F.max_by(F.struct("likeness", "place"), F.struct("likeness", -F.col("place.id"))).alias("b")
-    return scored.join(known, "known").groupBy("low").agg(best).select("low", "b.likeness", "b.place.*")
+    return found.join(known, "known").groupBy("low").agg(best).select("low", "b.likeness", "b.place.*")
