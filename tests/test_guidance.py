@@ -290,6 +290,24 @@ def test_names_found_by_words_do_not_meet_by_letters(spark, monkeypatch):
     assert (got[-1]["verdict"] == "NOT IN OSM") == (best < 90) and len(got) == whole(spark, SF, "landmarks").count() + 1
 
 
+def test_nearest_of_many_areas(spark, monkeypatch):
+    from trailhead.operators import shipping, spatial
+
+    r = random.Random(8)
+    places = [(f"A{i % 90:02d}", round(6.5 + r.random() * 0.2, 3), round(-1.8 + r.random() * 0.2, 3)) for i in range(400)]
+    places += [("B1", 6.6, -1.7), ("B0", 6.6, -1.7), ("C", 89.9, 10.0), ("D", 6.55, 179.95)]
+    spots = [(i, round(6.4 + r.random() * 0.4, 3), round(-1.9 + r.random() * 0.4, 3)) for i in range(300)] + [(900, 6.6, -1.7), (901, 89.0, -170.0), (902, 6.55, -179.95), (903, None, 1.0)]
+    areas = spark.createDataFrame(places, "name string, lat double, lon double")
+    points = spark.createDataFrame(spots, "id long, lat double, lon double")
+    asked = []
+    beside = shipping.beside
+    monkeypatch.setattr(shipping, "beside", lambda *a: asked.append(1) or beside(*a))
+    got = sorted(spatial.nearest_of_few(points, areas, "id").collect())
+    assert asked  # no array of all areas for each point
+    monkeypatch.setattr(spatial, "FEW", 1 << 20)
+    assert got == sorted(spatial.nearest_of_few(points, areas, "id").collect()) and len(got) == len(spots) and dict(got)[900] == "B0"
+
+
 def test_accept_in_order(spark):
     rows = [("c", 1, "Big Market", 6.0, 1.0), ("c", 2, "Market (old)", 6.0005, 1.0005), ("c", 3, "Market Hall", 6.01, 1.0), ("c", 4, "big market", 7.0, 1.0), ("c", 5, "Clinic", 6.0, 1.0)]
     got = evaluation.accept_in_order(spark.createDataFrame(rows, "city string, id long, name string, lat double, lon double"), "id").collect()

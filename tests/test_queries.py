@@ -16,6 +16,33 @@ def test_strong_part(spark):
     assert QUERIES["largest_scc"](spark, SF).count() == 149
 
 
+def test_strong_parts_of_arrays():
+    import random
+    import tracemalloc
+
+    import numpy as np
+
+    from trailhead.operators import roads
+
+    r = random.Random(2)
+    for n in (1, 2, 5, 9, 14):
+        for _ in range(40):
+            edges = [(r.randrange(n) * 7, r.randrange(n) * 7) for _ in range(r.randrange(1, 2 * n + 1))]
+            nodes = sorted({x for e in edges for x in e})
+            ahead = {x: {x} for x in nodes}
+            for _ in nodes:
+                for a, b in edges:
+                    ahead[a] |= ahead[b]
+            parts = {frozenset(y for y in nodes if y in ahead[x] and x in ahead[y]) for x in nodes}
+            want = max(parts, key=lambda p: (len(p), -min(p)))
+            assert roads.strong_part(*np.array(edges, np.int64).T).tolist() == sorted(want)
+    ring = np.arange(200_000, dtype=np.int64)
+    tracemalloc.start()
+    assert len(roads.strong_part(ring, np.roll(ring, 1))) == len(ring)
+    assert tracemalloc.get_traced_memory()[1] < 90 * len(ring)  # bytes; lists and sets took several times as much
+    tracemalloc.stop()
+
+
 def test_routes_match_relaxation(spark):
     from trailhead.operators import roads
     from trailhead.plans.fixtures import fixture
