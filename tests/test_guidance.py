@@ -223,6 +223,16 @@ def test_reasons(spark, one_scenario):
     assert {r["n"]: r["why"] for r in found} == {n: c[3] for n, c in enumerate(CASES)}
 
 
+def test_reasons_repeat_no_work(spark, one_scenario):
+    rows = facts.with_facts(one_scenario)
+    made = rows.select(facts.reason(F.lit(ASK), F.col("end.name"), F.array().cast("array<string>")).alias("why"))._jdf.queryExecution().analyzed().toString().split("\n")[0]
+    assert made.count("split(") <= 6  # words of names, phrases and stretches are split once each
+    said = [("xNorth Gatewest", "direction"), ("nor North Gate th", None), ("Take Ring Road North Gate Road.", None), ("Take Crown Ring Hill Road.", "road_undeclared"), ("Take Golden Hill Road.", "road_undeclared"), ("Take Hill School Road.", None), ("Take the Road Street.", None)]
+    asked = spark.createDataFrame([(n, x[0]) for n, x in enumerate(said)], "n int, o string")
+    got = {r["n"]: r["why"] for r in rows.join(asked, F.lit(True)).select("n", facts.reason(F.lit(ASK), F.col("o"), F.array().cast("array<string>")).alias("why")).collect()}
+    assert got == {n: x[1] for n, x in enumerate(said)}
+
+
 def test_side_needs_a_turn(spark, one_scenario):
     rows = facts.with_facts(one_scenario.withColumn("dest_side", F.lit("ahead")))
     assert rows.select(facts.reason(F.lit(ASK), F.lit("Turn right."), F.array().cast("array<string>"))).first()[0] == "side"
