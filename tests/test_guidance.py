@@ -144,6 +144,7 @@ def test_walks_send_no_graph_through_the_driver(spark, monkeypatch):
 
 @pytest.mark.parametrize("name", ["knn_landmarks", "nearest_node_snap", "radius_nodes", "names_not_taken"])
 def test_neighbour_cells_are_not_broadcast(spark, name):
+    from trailhead.plans import files  # noqa: F401  # it registers queries
     from trailhead.plans.queries import QUERIES
 
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
